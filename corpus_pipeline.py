@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import jaccard, langid
+from marlspan.llm import decontam, jaccard, langid, mixing, pii
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,11 +17,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its error budget go."""
+    return decontam.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Private data are redacted; n_chars follows."""
+    return pii.keep_redacted(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are selected so that all sources weigh the same in tokens."""
+    return mixing.keep_mixed(docs)
+
+
 STAGES = [
     ("language ID", language),
     ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("private data", private_data),
+    ("source mixing", source_mixing),
 ]
-#: The compression sizes of the first stage can't be expressed in SQL.
+#: Compression sizes, edit distances, boosted trees and subset sums can't be expressed in SQL.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import jaccard, langid
+from marlspan.llm import decontam, jaccard, langid, mixing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_ngram_jaccard": jaccard.ORACLE}
@@ -29,3 +29,18 @@ def op4_language_id(spark, sf_dir):
 @query
 def op6_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_source_mixing(spark, sf_dir):
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_decontamination(spark, sf_dir):
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_private_data(spark, sf_dir):
+    return pii.private_data(table(spark, sf_dir, "documents"))

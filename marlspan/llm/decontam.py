@@ -161,12 +161,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> Da
 def keep_clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> DataFrame:
     """docs without the documents that match an item; their columns as they came."""
     for items in parts(benchmark):
-        if not items:
-            continue
+        if items:
+            docs = docs.withColumn("__clean", _clean(items, errors)(F.lower("text"))).where("__clean").drop("__clean")
+    return docs
 
-        @F.arrow_udf("boolean")
-        def clean(text: pa.Array, items=items) -> pa.Array:
-            return pa.array([not search(t, items, errors) for t in normal_bytes(text)], pa.bool_())
 
-        docs = docs.withColumn("__clean", clean(F.lower("text"))).where("__clean").drop("__clean")
-    return docs
+def _clean(items: list[tuple[int, str]], errors: float):
+    @F.arrow_udf("boolean")
+    def clean(text: pa.Array) -> pa.Array:
+        return pa.array([not search(t, items, errors) for t in normal_bytes(text)], pa.bool_())
+
+    return clean

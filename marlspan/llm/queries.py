@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import decontam, jaccard, langid, mixing, pii
+from marlspan.llm import decontam, jaccard, langid, mixing, pii, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_ngram_jaccard": jaccard.ORACLE}
@@ -44,3 +44,8 @@ def op7_decontamination(spark, sf_dir):
 @query
 def op3_private_data(spark, sf_dir):
     return pii.private_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_maximal_repeats(spark, sf_dir):
+    return repeats.maximal_repeats(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import decontam, jaccard, langid, mixing, pii, repeats
+from marlspan.llm import decontam, jaccard, langid, lmscore, mixing, pii, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_ngram_jaccard": jaccard.ORACLE}
@@ -49,3 +49,8 @@ def op3_private_data(spark, sf_dir):
 @query
 def op2_maximal_repeats(spark, sf_dir):
     return repeats.maximal_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_cross_parsing(spark, sf_dir):
+    return lmscore.cross_parse(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

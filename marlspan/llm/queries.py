@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import decontam, jaccard, langid, lmscore, mixing, pii, repeats
+from marlspan.llm import decontam, jaccard, langid, lmscore, mixing, pii, repeats, tokens
 
+#: Folder of public tokenizers; another may be named in the environment.
+TOKENIZERS = os.environ.get("MARLSPAN_TOKENIZERS", "/opt/tokenizers")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op6_ngram_jaccard": jaccard.ORACLE}
 
@@ -54,3 +57,8 @@ def op2_maximal_repeats(spark, sf_dir):
 @query
 def op10_cross_parsing(spark, sf_dir):
     return lmscore.cross_parse(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    return tokens.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")

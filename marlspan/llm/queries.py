@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlspan.llm import decontam, jaccard, langid, lmscore, mixing, pii, repeats, tokens
+from marlspan.llm import decontam, jaccard, langid, licenses, lmscore, media, mixing, pii, repeats, tokens
 
 #: Folder of public tokenizers; another may be named in the environment.
 TOKENIZERS = os.environ.get("MARLSPAN_TOKENIZERS", "/opt/tokenizers")
@@ -62,3 +62,13 @@ def op10_cross_parsing(spark, sf_dir):
 @query
 def op9_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
+
+
+@query
+def op1_media_tiles(spark, sf_dir):
+    return media.media_tiles(media.rendered(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_license_scan(spark, sf_dir):
+    return licenses.license_scan(licenses.with_paths(table(spark, sf_dir, "documents").select("doc_id", "text")))

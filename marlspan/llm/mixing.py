@@ -16,6 +16,9 @@ through whatever their names.
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -86,14 +89,14 @@ def fit(length: np.ndarray, count: np.ndarray, budget: int, seed: int = SEED) ->
 
 
 def budgets(total: dict, weights: dict | None, tokens: int | None) -> dict:
-    """Each present source's budget, of exact integers."""
-    w = {s: float(weights.get(s, 0)) if weights else 1.0 for s in total}
+    """Each present source's budget; exact, so that the scarcest source can be taken whole."""
+    w = {s: Fraction(weights.get(s, 0)) if weights else Fraction(1) for s in total}
     z = sum(w.values())
     if not z:
         return {s: 0 for s in total}
-    most = min(int(total[s] * z / w[s]) for s in total if w[s] > 0)
-    whole = most if tokens is None else min(tokens, most)
-    return {s: min(total[s], int(whole * w[s] / z)) for s in total}
+    most = min(total[s] * z / w[s] for s in total if w[s] > 0)
+    whole = most if tokens is None else min(Fraction(tokens), most)
+    return {s: math.floor(whole * w[s] / z) for s in total}
 
 
 def chosen(docs: DataFrame, weights: dict | None = None, tokens: int | None = None, seed: int = SEED) -> DataFrame:

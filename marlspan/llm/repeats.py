@@ -16,8 +16,9 @@ Nothing is sampled or capped. Shuffled are one anchor in about 13 words, and rep
 
 Cases: null or empty texts and texts of under MIN_WORDS words have no repeat, nor have rows without
 doc_id; repeated rows of one doc_id are one document; a repeat may occur several times in one
-document; inside a run of a short period (the same words again and again) occurrences are taken at
-the run's start only; an empty table gives no repeats. Only doc_id and text are read.
+document; in a run (one passage again and again, copy after copy) occurrences that begin after its
+second and before its last copy are left out, as their number would grow with the square of its
+length; an empty table gives no repeats. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -67,10 +68,23 @@ def anchors(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     chosen = np.zeros(m, dtype=bool)
     chosen[place[left >= min_words]] = True
     p = np.flatnonzero(chosen)
+    # An anchor of the third copy in a row or a later one lies inside a run, if a whole copy follows.
     again = np.zeros(len(p), dtype=bool)
-    depth = p - w.first[w.doc[p]]
-    for j in range(1, width + 1):
-        again |= (depth >= j) & (g[np.maximum(p - j, 0)] == g[p])
+    by = np.lexsort((p, g[p], w.doc[p]))
+    q = p[by]
+    same = np.zeros(len(p), dtype=bool)
+    same[1:] = (w.doc[q[1:]] == w.doc[q[:-1]]) & (g[q[1:]] == g[q[:-1]])
+    i = np.flatnonzero(same[2:] & same[1:-1]) + 2
+    d = q[i] - q[i - 1]
+    even = (d == q[i - 1] - q[i - 2]) & (q[i] + d <= w.first[w.doc[q[i]] + 1])
+    i, d = i[even], d[even]
+
+    def between(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return (total[y] - total[x]) * down[x]
+
+    x = q[i]
+    copy = between(x - d, x)
+    again[by[i[(between(x - 2 * d, x - d) == copy) & (between(x, x + d) == copy)]]] = True
     return g, p[~again], p[again]
 
 
@@ -111,6 +125,11 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array((pos * 2 + np.repeat(diverse, n))[keep].astype(np.int32))], names=["doc_id", "at"])
 
 
+def _sent(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+    h, p, mask, left, right, r = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(mask, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["h", "doc_id", "pos", "mask", "lefts", "rights"])
+
+
 def _suffixes(min_words: int):
     k, width = _sizes(min_words)
 
@@ -120,6 +139,7 @@ def _suffixes(min_words: int):
             g, _, runs = anchors(w, min_words)
             low = (w.hash >> np.uint64(32)).astype(">u4")
             rows: list[tuple] = []
+            held = 0
             lists = b.column("at")
             for r in range(b.num_rows):
                 lo, hi = int(w.first[r]), int(w.first[r + 1])
@@ -142,9 +162,12 @@ def _suffixes(min_words: int):
                     if mask:
                         left = low[max(lo, a - width) : a][::-1].tobytes()
                         rows.append((int(g[a].view(np.int64)), p, mask, left, low[a:stop].tobytes(), r))
+                        held += 4 * (stop - a)
+                        if held > 16_000_000:
+                            yield _sent(b, rows)
+                            rows, held = [], 0
             if rows:
-                h, p, mask, left, right, r = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(mask, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["h", "doc_id", "pos", "mask", "lefts", "rights"])
+                yield _sent(b, rows)
 
     return run
 

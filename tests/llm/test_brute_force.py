@@ -73,6 +73,16 @@ def test_maximal_repeats(spark, least, n, seed):
     assert want and got == want
 
 
+def test_runs_are_cut_to_their_ends(spark):
+    unit = " ".join(f"u{i}" for i in range(14))
+    docs = [(1, " ".join([unit] * 400)), (2, "x " + " ".join([unit] * 300) + " y z"), (3, "the " * 3000)]
+    got = repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string"), 8).collect()
+    shared = [r for r in got if {1, 2} <= set(r.doc_ids)]
+    assert max(r.n_words for r in shared) == 14 * 300
+    assert any(r.doc_ids == [3, 3] and r.n_words == 2999 for r in got)
+    assert sum(r.n_occurrences for r in got) < 500
+
+
 def test_jaccard_join(spark):
     rng = random.Random(1)
     base = [[rng.choice(VOCABULARY) for _ in range(80)] for _ in range(4)]

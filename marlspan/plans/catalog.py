@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from marlspan.functions import code_text, messages
 from marlspan.functions.hashes import bands, hamming, page_simhash
 from marlspan.functions.markup import value_density
-from marlspan.operators import near_pages, profile, rewrites, rows
+from marlspan.operators import images, near_pages, preferences, profile, rewrites, rows
+from marlspan.shared import shared_dir
+from marlspan.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -316,3 +319,51 @@ def _rewriting(how: str):
 
 for _how in rewrites.REWRITERS:
     query()(_rewriting(_how))
+
+
+def _preferring(how: str):
+    def run(spark, sf_dir):
+        ask = F.concat(F.lit("Write the page at "), "url")
+        return preferences.pairs(table(spark, sf_dir, "pages"), "page_id", ask, F.col("html"), how)
+
+    run.__name__ = f"prefer_{how}"
+    return run
+
+
+for _how in (*preferences.DISPATCHERS, "semantic_2", "semantic_8", "semantic_16", "combined", "combined_equal_share"):
+    query()(_preferring(_how))
+
+
+@query()
+def preference_distribution(spark, sf_dir):
+    made = preferences.pairs(table(spark, sf_dir, "pages"), "page_id", F.col("url"), F.col("html"), "combined_equal_share")
+    return rows.counted(made.withColumn("kind", F.coalesce("rejection_mode", "reason")), "kind")
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def streamed_events(spark, sf_dir):
+    """The events table taken as a stream of files, with dense ids; then counted by type."""
+    events = table(spark, sf_dir, "events")
+    folder = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    path = f"{sf_dir}/events.parquet"
+    stream = spark.readStream.schema(events.schema).parquet(path if _is_folder(spark, path) else f"{path}*")
+    ingest.available_now(stream, f"{folder}/checkpoint", ingest.into_dense_ids(f"{folder}/rows", F.col("event_id"))).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").groupBy("event_type").agg(F.count("idx").alias("n"))
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+@query()
+def token_limit(spark, sf_dir):
+    return images.token_limit(chats(spark, sf_dir), messages.first_response(None, F.col("messages")), 100).select("conv_id", "tokens", "reason")
+
+
+@query()
+def page_rows(spark, sf_dir):
+    """Pages as chat rows with dense ids and shards, by the rules of web pages but for their images."""
+    rules = [("invalid_html", code_text.valid_html(F.col("html"))), ("empty_text", code_text.filled(F.col("html")))]
+    kept = rows.numbered(table(spark, sf_dir, "pages").withColumn("reason", rows.first_failing(rules)).where("reason IS NULL"), F.col("page_id"))
+    return rows.sharded(kept, "web").select("page_id", "idx", "id", "shard", "member", messages.conversation("Write this page.", F.col("html")).alias("conversations"))

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from marlspan.functions.messages import strip
 
-_LAYER = r"(?s)^\s*```[^\n`]*\n(.*?)\n```\s*\z"
-_OUTER = r"(?s)^```[a-zA-Z]*\s*\n(.*?)```\s*\z"
+_LAYER = r"(?s)\A\s*`{3}[^`\n]*\n(.*?)\n`{3}\s*\z"
+_OUTER = r"(?s)\A`{3}[A-Za-z]*\s*\n(.*?)`{3}\s*\z"
 
 
 def strip_layer(code: Column) -> Column:
@@ -38,7 +38,7 @@ def fenced(code: Column, tag: str) -> Column:
 
 def valid_html(html: Column) -> Column:
     """Begins with <html or a doctype and ends with </html>, but for white space."""
-    return html.rlike(r"(?i)^\s*(<html|<!DOCTYPE\s+html)") & html.rlike(r"(?i)</html>\s*\z")
+    return html.rlike(r"(?i)\A\s*<(!DOCTYPE\s+html|html)") & html.rlike(r"(?i)</html>\s*\z")
 
 
 def holds_html(text: Column) -> Column:
@@ -50,7 +50,7 @@ def filled(text: Column) -> Column:
     return F.coalesce(strip(text) != "", F.lit(False))
 
 
-def prefixed(path: Column, prefix: str = "mcd_images/") -> Column:
+def prefixed(path: Column, prefix: str) -> Column:
     return F.when(path.startswith(prefix), path).otherwise(F.concat(F.lit(prefix), path))
 
 
@@ -74,5 +74,5 @@ def minified_css(css: Column, colours: bool = True) -> Column:
     """CSS without comments and needless white space; with colours, #aabbcc becomes #abc."""
     out = _spaced(css)
     if colours:
-        out = F.regexp_replace(out, r"#([0-9a-fA-F])\1([0-9a-fA-F])\2([0-9a-fA-F])\3\b", "#$1$2$3")
+        out = F.regexp_replace(out, "#" + "".join(rf"([0-9A-Fa-f])\{i}" for i in (1, 2, 3)) + r"\b", "#$1$2$3")
     return strip(F.regexp_replace(out, r"\s+", " "))

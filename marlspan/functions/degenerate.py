@@ -9,15 +9,17 @@ import random
 import re
 from collections.abc import Callable
 
-_TAG = re.compile(r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s+[^>]*)?\s*/?>")
-_OPEN = re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)[^>]*>")
-_RULE = re.compile(r"[^{}]+\{[^{}]*\}")
+_N = "[A-Za-z][0-9A-Za-z]*"
+_SIMPLE = r"[#.]?[-\w]+"
+_TAG = re.compile(rf"</?{_N}(?:\s[^>]*)?/?>")
+_OPEN = re.compile(rf"<({_N})[^>]*>")
+_RULE = re.compile(r"[^{}]+[{][^{}]*[}]")
 _STYLE = re.compile(r"(?i)<style[^>]*>")
 _STYLE_END = re.compile(r"(?i)</style>")
-_EMPTY_TAG = re.compile(r"(?i)<(br|hr|img|input|meta|link)[^>]*/?>")
-_CLOSING = re.compile(r"</[a-zA-Z][a-zA-Z0-9]*>")
-HTML_KINDS = ("char", "tag", "section", "incrementing", "closing_tag", "self_closing", "deeply_nested")
-CSS_KINDS = ("css_rule", "css_property", "css_selector", "css_incrementing", "css_value", "css_multi_rule")
+_EMPTY_TAG = re.compile(r"(?i)<(?:hr|br|link|meta|input|img)[^>]*>")
+_CLOSING = re.compile(rf"</{_N}>")
+HTML_KINDS = ("section", "tag", "char", "closing_tag", "self_closing", "incrementing", "deeply_nested")
+CSS_KINDS = ("css_value", "css_rule", "css_selector", "css_property", "css_incrementing", "css_multi_rule")
 NESTED = ("cycling", "incrementing", "pure")
 WEIGHTED = {"cycling": 2, "incrementing": 2, "pure": 2, "css_rule_cycling": 12, "enumeration": 2, "whitespace_runaway": 37, "css_bloat": 12, "section_repetition": 10, "self_closing_spam": 8, "closing_tag_spam": 6, "truncated_padded": 5}
 EQUAL = tuple(("cf", k) for k in (*WEIGHTED, "css_truncated_other")) + tuple(("inline", k) for k in HTML_KINDS + CSS_KINDS)
@@ -91,12 +93,12 @@ def rules_at(page: str, at: int, n: int) -> str | None:
 
 
 def property_at(page: str, at: int) -> str:
-    m = _near(re.compile(r"[\w-]+\s*:\s*[^;{}]+;?"), page, at, 200)
+    m = _near(re.compile(r"[-\w]+\s*:\s*[^{};]+;?"), page, at, 200)
     return m.group().strip().removesuffix(";") + ";" if m else "color: red;"
 
 
 def selector_at(page: str, at: int, default: str) -> str:
-    m = _near(re.compile(r"([.#]?[\w-]+(?:\s+[.#]?[\w-]+)*)\s*\{"), page, at, 300)
+    m = _near(re.compile(rf"({_SIMPLE}(?:\s+{_SIMPLE})*)\s*{{"), page, at, 300)
     return m[1].strip() if m else default
 
 
@@ -119,7 +121,7 @@ def _section(page, at, rng, indented):
 
 
 def _counted(page, at, rng, indented):
-    m = _near(re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)\s+class="([^"]+)"[^>]*>'), page, at, 200)
+    m = _near(re.compile(rf'<({_N})\s+class="([^"]{{1,}})"[^>]*>'), page, at, 200)
     return (lambda i: indented(f'<{m[1]} class="{m[2]}-{i}">')) if m else _tag(page, at, rng, indented)
 
 
@@ -134,7 +136,7 @@ def _empty(page, at, rng, indented):
 
 
 def _nested(page, at, rng, indented):
-    m = re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)(?:\s+[^>]*)?>(?!/)").search(page, max(0, at - 50))
+    m = re.compile(rf"<({_N})(?:\s[^>]*)?>(?!/)").search(page, max(0, at - 50))
     return indented(f"<{m[1] if m else 'div'}>")
 
 
@@ -161,14 +163,14 @@ def _css_counted(page, at, rng, indented):
 
 
 def _css_value(page, at, rng, indented):
-    m = re.compile(r":\s*([\d.]+(?:px|em|rem|%|vh|vw)?|\w+)").search(page, max(0, at - 100))
+    m = re.compile(r":\s*([.\d]+(?:vw|vh|%|rem|em|px)?|\w+)").search(page, max(0, at - 100))
     return (m[1] if m else "10px") + " "
 
 
 def _css_growing(page, at, rng, indented):
-    m = _near(re.compile(r"([.#]?[\w-]+(?:\s*[+>~\s]\s*[.#]?[\w-]+)*)\s*\{"), page, at, 300)
+    m = _near(re.compile(rf"({_SIMPLE}(?:\s*[~>+\s]\s*{_SIMPLE})*)\s*{{"), page, at, 300)
     base = m[1].strip() if m else ".nav--list"
-    more = re.findall(r"\s*[+>~]\s*[a-zA-Z][a-zA-Z0-9]*", base) if m else []
+    more = re.findall(rf"\s*[~>+]\s*{_N}", base) if m else []
     step = more[-1] if more else rng.choice((" + ul", " + li", " + div", " > div", " > li", " ~ p"))
     body = re.search(r"\{([^}]*)\}", rule_at(page, at) or "")
     if len(re.findall(r"[+>~]", base)) < 3:
@@ -182,7 +184,7 @@ def _text(page, at, rng, indented):
     if m is None or len(m[1].strip()) < 2:
         return _section(page, at, rng, indented)
     text = m[1].strip()
-    lead = list(re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)(?:\s+[^>]*)?>").finditer(page, max(0, m.start() - 100), m.start() + 1))
+    lead = list(re.compile(rf"<({_N})(?:\s[^>]*)?>").finditer(page, max(0, m.start() - 100), m.start() + 1))
     return f"{lead[-1].group()}{text}</{lead[-1][1]}>" if lead and rng.choice((True, False)) else text + " "
 
 
@@ -208,16 +210,16 @@ def repeated(page: str, at: int, target: int, kind: str, how: str, rng: random.R
     prefix = page[:at]
     room = target - len(prefix)
     if kind == "stuttering":
-        unit = tag_at(page, at) or (m.group() if (m := re.compile(r"[a-zA-Z][a-zA-Z0-9_-]*").search(page, at)) else "")
+        unit = tag_at(page, at) or (m.group() if (m := re.compile(r"(?a)[A-Za-z][-\w]*").search(page, at)) else "")
         if len(unit) < 2:
             return repeated(page, at, target, "char", how, rng, indent)
-        start = unit[: rng.randint(1, min(4, len(unit) - 1))]
+        start = unit[: rng.randint(1, min(len(unit) - 1, 4))]
         room -= len(start) + 1
         unit += "" if unit.startswith("<") else " "
         return prefix[:target] if room <= 0 else f"{prefix}{start} {unit * repetitions(room, len(unit), rng)}"
     if kind == "attribute":
-        m = _near(re.compile(r"<([a-zA-Z][a-zA-Z0-9]*)\s+([^>]+)>"), page, at, 200)
-        own = m and re.search(r"""[a-zA-Z][a-zA-Z0-9_-]*\s*=\s*["'][^"']*["']""", m[2])
+        m = _near(re.compile(rf"<({_N})\s+([^>]+)>"), page, at, 200)
+        own = m and re.search(r"""(?a)[A-Za-z][-\w]*\s*=\s*["'][^"']*["']""", m[2])
         if not own:
             return repeated(page, at, target, "tag", how, rng, indent)
         if room <= 0:
@@ -264,8 +266,8 @@ def nested(page: str, kind: str, target: int, rng: random.Random, trim: bool = T
     last = prefix.rstrip("\n").rsplit("\n", 1)[-1]
     depth = len(last) - len(last.lstrip(" ")) + 1
     around = page[max(0, cut - 2000) : cut + 2000]
-    tags = "div|input|span|p|li|a|section|article"
-    pairs = list(dict.fromkeys((m[1], m[2].split()[0]) for m in re.finditer(rf'<({tags})\s+class="([\w\s-]+)"[^>]*>', around) if m[2].strip()))[:50]
+    tags = "article|section|a|li|p|span|input|div"
+    pairs = list(dict.fromkeys((m[1], m[2].split()[0]) for m in re.finditer(rf'<({tags})\s+class="([-\s\w]+)"[^>]*>', around) if m[2].strip()))[:50]
     pairs = pairs or list(dict.fromkeys((m[1], "") for m in re.finditer(rf"<({tags})>", around)))[:10] or [("div", "item")]
     if len(prefix) >= target:
         return prefix[:target], f"cf_{kind}"
@@ -285,10 +287,10 @@ def nested(page: str, kind: str, target: int, rng: random.Random, trim: bool = T
 
 
 def _cut_style(page: str, least: int, most_cut: float, rng: random.Random):
-    m = re.search(r"(?is)<style[^>]*>(.*?)</style>", page)
+    m = re.search(r"(?is)<style\b[^>]*>(.*?)</style", page)
     if not m or len(m[1]) < least:
         return None
-    rules = [(r[1].strip(), r[2].strip()) for r in re.finditer(r"([^{}\n]+)\{([^{}]*)\}", m[1])]
+    rules = [(r[1].strip(), r[2].strip()) for r in re.finditer(r"([^\n{}]+)[{]([^{}]*)[}]", m[1])]
     if len(rules) < 3:
         return None
     cut = m.start(1) + int(len(m[1]) * rng.uniform(0.4, most_cut))
@@ -310,7 +312,7 @@ def css_rule_cycling(page: str, rng: random.Random) -> str | None:
         return None
     own = [b for _, b in rules if b]
     n = rng.randint(4, 5)
-    spare = ["color: #fff", "background-color: #002386", "width: 40px;\n  height: 40px;\n  line-height: 40px", "font-size: 16px", "display: block", "margin: 0;\n  padding: 0", "text-align: center"]
+    spare = ["display: block", ";\n  ".join(f"{p}: 40px" for p in ("width", "height", "line-height")), "text-align: center", "font-size: 16px", "color: #fff", "margin: 0;\n  padding: 0", "background-color: #002386"]
     bodies = rng.sample(own, n) if len(own) >= n else own + rng.sample(spare, n - len(own))
     turn = iter(range(1 << 60))
     return _padded(page, cut, lambda: f"\n{selector}{{\n  {bodies[next(turn) % n]}\n}}\n", len(page))
@@ -355,12 +357,12 @@ def value_series(samples: list[str]) -> tuple[str, int, int]:
 def enumeration(page: str, rng: random.Random) -> str | None:
     """Children of a list go on and on, with numbers that follow theirs."""
     found = []
-    for parent, child in (("select", "option"), ("ul", "li"), ("ol", "li"), ("tbody", "tr"), ("table", "tr"), ("dl", "dd")):
-        found += [(child, m) for m in re.finditer(rf"(?is)<{parent}[^>]*>(.*?)</{parent}>", page) if len(re.findall(rf"(?i)<{child}\b", m[1])) > 1]
+    for outer, item in (("dl", "dd"), ("table", "tr"), ("tbody", "tr"), ("ol", "li"), ("ul", "li"), ("select", "option")):
+        found += [(item, m) for m in re.finditer(rf"(?is)<{outer}[^>]*>(.*?)</{outer}>", page) if len(re.findall(rf"(?i)<{item}\b", m[1])) > 1]
     if not found:
         return None
     child, m = rng.choice(found)
-    texts = re.findall(rf"(?is)<{child}[^>]*>\s*(.*?)\s*</{child}>", m[1])
+    texts = [t.strip() for t in re.findall(rf"(?is)<{child}[^>]*>(.*?)</{child}>", m[1])]
     close = page.rfind(f"</{child}>", 0, m.end())
     if not texts or close < 0:
         return None
@@ -395,7 +397,7 @@ def truncated_padded(page: str, rng: random.Random) -> str | None:
 
 
 def section_repetition(page: str, rng: random.Random) -> str | None:
-    blocks = [m for m in re.finditer(r'(?s)<(div|article|section|li)\s+class="[^"]+"[^>]*>.*?</\1>', page) if 100 <= len(m.group()) <= 2000]
+    blocks = [m for m in re.finditer(r'(?s)<(?P<t>li|section|article|div)\s+class="[^"]{1,}"[^>]*>.*?</(?P=t)>', page) if 100 <= len(m.group()) <= 2000]
     if not blocks:
         return None
     m = rng.choice(blocks)

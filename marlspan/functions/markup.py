@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SILENT = frozenset(("script", "style", "noscript", "template"))
-TELLING = frozenset(("value", "placeholder", "alt", "title", "aria-label", "content", "href", "src"))
+TELLING = frozenset(("href", "src", "alt", "title", "value", "content", "aria-label", "placeholder"))
 
 
 def telling(name: str, value: str | None) -> bool:
@@ -28,7 +28,7 @@ class Density(HTMLParser):
     """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.names: list[str] = []
         self.worth: list[bool] = []
         self.open: list[int] = []
@@ -54,7 +54,7 @@ class Visible(HTMLParser):
     """Text outside of silent elements, and the sequence of start tags."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.depth = 0
         self.text: list[str] = []
         self.tags: list[str] = []

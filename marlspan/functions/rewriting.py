@@ -11,7 +11,7 @@ RESERVED = frozenset(("ad", "ads", "banner", "if", "do", "for"))
 #: Characters of CSS up to which simple class rules become style attributes.
 INLINE = 100
 BLOCKS = frozenset(
-    "address article aside blockquote body br dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li link main meta nav ol p pre script section style summary table tbody td tfoot th thead title tr ul".split()
+    "fieldset form tbody th details pre table ul li h5 ol dl tr nav figcaption aside dt section tfoot main summary h6 link h4 address title dialog style html td header h1 head p figure blockquote h2 script thead article body br div meta hr dd h3 footer".split()
 )
 
 
@@ -36,7 +36,7 @@ def small_css(css: str, colours: bool) -> str:
         css = re.sub(rf"\s*{re.escape(mark)}\s*", mark, css)
     css = css.replace(";}", "}") if not re.search(r";\s+\}", css) else re.sub(r";\s*\}", "}", css)
     if colours:
-        css = re.sub(r"#([0-9a-fA-F])\1([0-9a-fA-F])\2([0-9a-fA-F])\3\b", r"#\1\2\3", css)
+        css = re.sub(r"#" + "".join(rf"([0-9A-Fa-f])\{i}" for i in (1, 2, 3)) + r"\b", r"#\1\2\3", css)
     return re.sub(r"\s+", " ", css).strip()
 
 
@@ -66,8 +66,8 @@ def names_in(root: Element, css: str) -> tuple[list[str], list[str]]:
         classes |= dict.fromkeys(e.classes())
         if (e.attributes.get("id") or "").strip():
             ids[e.attributes["id"].strip()] = None
-    classes |= dict.fromkeys(re.findall(r"\.([a-zA-Z_][\w-]*)", css))
-    ids |= dict.fromkeys(re.findall(r"#([a-zA-Z_][\w-]*)", css))
+    classes |= dict.fromkeys(re.findall(r"\.([A-Z_a-z][-\w]*)", css))
+    ids |= dict.fromkeys(re.findall(r"#([A-Z_a-z][-\w]*)", css))
     return list(classes), list(ids)
 
 
@@ -225,9 +225,9 @@ def class_names(html: str, safe: frozenset[str] = frozenset(), tighten: bool = T
 
 def whitespace(html: str) -> tuple[str, str | None, dict]:
     """White space of styles, after the doctype, and between tags of which one at least is a block."""
-    out = re.sub(r"(?s)(<style[^>]*>)(.*?)(</style>)", lambda m: m[1] + small_css(m[2], False) + "</style>", html)
+    out = re.sub(r"(?s)(?P<tag><style[^>]*>)(?P<css>.*?)</style>", lambda m: m["tag"] + small_css(m["css"], False) + "</style>", html)
     out = re.sub(r"(?i)(<!DOCTYPE[^>]*>)\s+", r"\1", out)
-    out = re.sub(r"</?(\w+)[^>]*>(\s+)(?=</?(\w+))", lambda m: m[0][: -len(m[2])] if {m[1].lower(), m[3].lower()} & BLOCKS else m[0], out).strip()
+    out = re.sub(r"</?(?P<a>\w+)[^>]*>(?P<gap>\s+)(?=</?(?P<b>\w+))", lambda m: m[0][: -len(m["gap"])] if {m["a"].lower(), m["b"].lower()} & BLOCKS else m[0], out).strip()
     return out, None, {"original_size": len(html), "minified_size": len(out), "bytes_removed": len(html) - len(out)}
 
 

@@ -86,8 +86,10 @@ class Element:
 
 
 class _Builder(HTMLParser):
+    """Builds the tree; neighbouring data become one text."""
+
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.root = Element("")
         self.open = [self.root]
         self.held: list[str] = []

@@ -112,7 +112,7 @@ def row_statistics(rows: DataFrame, facts: DataFrame, response: Column, name: st
     fine = lambda c: F.when(~bad, c)
     return seen.select(
         "id", "shard", "image_in_tar", bad.alias("corrupted"), F.when(bad, F.coalesce("__why", "corruption_reason", F.lit("missing"))).alias("corruption_reason"),
-        *[fine(F.col(c)).alias(c) for c in ("image_width", "image_height", "image_file_size", "pixel_std", "image_channels", "image_mode")],
+        *[fine(F.col(c)).alias(c) for c in ("image_mode", "image_channels", "image_width", "image_height", "pixel_std", "image_file_size")],
         fine(token_count(F.col("__r"), name, path)).alias("gpt_token_count"), fine(F.length("__r")).alias("gpt_char_count"),
     )
 

@@ -32,23 +32,23 @@ def web_pages() -> Source:
 
 def web_code(language: str | None = None) -> Source:
     own = [("language", F.col("lang") == language)] if language else []
-    return Source("web2m", [*own, ("no_image", F.col("image").isNotNull()), ("empty_text", code_text.filled(F.col("text")))], F.col("text"))
+    return Source("crawl", [*own, ("no_image", F.col("image").isNotNull()), ("empty_text", code_text.filled(F.col("text")))], F.col("text"))
 
 
 def instructions() -> Source:
     answer = F.get("conversations", F.lit(1))["value"]
-    return Source("web2code", [("not_single_round", single_round(F.col("conversations"))), ("invalid_html", code_text.valid_html(answer)), ("no_image", F.col("image").isNotNull())], answer)
+    return Source("instruct", [("not_single_round", single_round(F.col("conversations"))), ("invalid_html", code_text.valid_html(answer)), ("no_image", F.col("image").isNotNull())], answer)
 
 
 def multimodal_code(category: str = "html") -> Source:
     answer = first_filled_response(F.col("messages"))
-    return Source("mcd", [("category", F.lower("category") == category), ("no_image", F.col("image").isNotNull()), ("empty_response", code_text.filled(answer))], answer)
+    return Source("multi", [("category", F.lower("category") == category), ("no_image", F.col("image").isNotNull()), ("empty_response", code_text.filled(answer))], answer)
 
 
 def parquet_pages(need_html: bool = False) -> Source:
     code = code_text.first_block(F.col("assistant_content"))
     rules = [("no_image", F.col("image").isNotNull()), ("empty_code", code_text.filled(code))]
-    return Source("vinci", [*rules, *([("invalid_html", code_text.valid_html(code))] if need_html else [])], code, False)
+    return Source("pair", [*rules, *([("invalid_html", code_text.valid_html(code))] if need_html else [])], code, False)
 
 
 def archives() -> Source:
@@ -76,6 +76,6 @@ def chat_rows(kept: DataFrame, prompt: Column | str, code: Column | None = None)
     return kept.select("idx", turns.alias("messages"), F.array(F.concat("shard", F.lit("/"), "member")).alias("images"))
 
 
-def code_anything(kept: DataFrame, source: str, language: str) -> DataFrame:
+def coded_rows(kept: DataFrame, source: str, language: str) -> DataFrame:
     """source, code_language, image_path and fenced code."""
     return kept.select(F.lit(source).alias("source"), F.lit(language).alias("code_language"), F.concat(F.lit("images/"), "id", F.lit(".png")).alias("image_path"), code_text.fenced(F.col("code"), language).alias("code"))

@@ -46,7 +46,7 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats(spark, sf_dir).select("conv_id", "messages", messages.as_conversations(F.col("messages")).alias("conversations"))
 
 
-_VALID = r"regexp_matches(html, '(?i)^\s*(<html|<!DOCTYPE\s+html)') AND regexp_matches(html, '(?i)</html>\s*$')"
+_VALID = r"regexp_matches(html, '(?i)^\s*<(!DOCTYPE\s+html|html)') AND regexp_matches(html, '(?i)</html>\s*$')"
 
 
 @query(f"SELECT page_id, length(html) AS n_chars, {_VALID} AS valid FROM pages")
@@ -142,7 +142,7 @@ def normalised_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", code_text.normalised(F.col("text")).alias("tokens"))
 
 
-_CSS = "regexp_extract(html, '(?s)<style[^>]*>(.*?)</style>', 1)"
+_CSS = r"regexp_extract(html, '(?s)<style\b[^>]*>(.*?)</style', 1)"
 
 
 @query(
@@ -150,7 +150,7 @@ _CSS = "regexp_extract(html, '(?s)<style[^>]*>(.*?)</style>', 1)"
 '(?s)/\*.*?\*/', '', 'g'), '\s*\{{\s*', '{{', 'g'), '\s*\}}\s*', '}}', 'g'), '\s*:\s*', ':', 'g'), '\s*;\s*', ';', 'g'), '\s*,\s*', ',', 'g'), ';\s*\}}', '}}', 'g'), '\s+', ' ', 'g')) AS css FROM pages"""
 )
 def minified_css(spark, sf_dir):
-    css = F.regexp_extract("html", r"(?s)<style[^>]*>(.*?)</style>", 1)
+    css = F.regexp_extract("html", r"(?s)<style\b[^>]*>(.*?)</style", 1)
     return table(spark, sf_dir, "pages").select("page_id", code_text.minified_css(css, colours=False).alias("css"))
 
 

@@ -59,7 +59,7 @@ def write_raw(df: DataFrame, path: str) -> None:
 def export_array(df: DataFrame, path: str, compact: bool = False) -> int:
     """One file with a JSON array, row by row through the driver; how many rows."""
     n = 0
-    with open(path, "w", encoding="utf-8") as f:
+    with open(path, encoding="utf-8", mode="w") as f:
         f.write("[")
         for r in df.toLocalIterator():
             row = r.asDict(recursive=True)
@@ -131,7 +131,7 @@ def write_folder(rows: DataFrame, folder: str) -> DataFrame:
             for name, image, language, code in zip(*(b.column(c).to_pylist() for c in ("name", "image", "code_language", "code"))):
                 with open(f"{folder}/images/{name}.png", "wb") as f:
                     f.write(image)
-                with open(f"{folder}/codes/{name}.{language}", "w", encoding="utf-8") as f:
+                with open(f"{folder}/codes/{name}.{language}", encoding="utf-8", mode="w") as f:
                     f.write(code)
             yield pa.RecordBatch.from_arrays([b.column("name")], names=["name"])
 

@@ -76,7 +76,7 @@ def lookup(members: DataFrame) -> DataFrame:
     """name -> first shard and member: full names, their base names, and chunk_N prefixes of chunk_N_row_M members."""
     m = members.where("member IS NOT NULL").select("shard", "member", "pos")
     base = F.regexp_extract("member", r"([^/]*)$", 1)
-    chunk = F.regexp_extract("member", r"(?:^|/)(chunk_\d+)_row_\d+\.[A-Za-z0-9]+$", 1)
+    chunk = F.regexp_extract("member", r"(?:^|/)(chunk_\d+)_row_\d+[.][0-9A-Za-z]+$", 1)
     names = m.select(F.explode(F.array_distinct(F.array("member", base, F.when(chunk != "", chunk)))).alias("name"), "shard", "member", "pos").where("name IS NOT NULL")
     return names.groupBy("name").agg(F.min(F.struct("shard", "pos", "member")).alias("at")).select("name", "at.shard", "at.member")
 
@@ -120,7 +120,7 @@ def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_
 
 def repaired(path: str, prefix: str) -> int:
     """Rewrite a shard with its readable members of the prefix in order of their numbers; how many."""
-    pattern = re.compile(rf"^{re.escape(prefix)}_(\d{{6,}})\.png$")
+    pattern = re.compile(re.escape(prefix) + r"_([0-9]{6,})[.]png\Z")
     kept: dict[int, tuple[str, bytes]] = {}
     try:
         with open(path, "rb") as f, tarfile.open(fileobj=f, mode="r|*") as tar:

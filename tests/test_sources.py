@@ -26,7 +26,7 @@ def picture(seed, w=20, h=12, n=3):
 def test_jsonl_round_trip(spark, tmp_path):
     path = tmp_path / "in"
     path.mkdir()
-    good = {"id": "1", "messages": [{"role": "user", "content": "hé"}, {"role": "assistant", "content": None}], "images": ["s/a.png"], "extra": 1}
+    good = {"id": "1", "messages": [dict(role="user", content="hé"), dict(role="assistant", content=None)], "images": ["s/a.png"], "extra": 1}
     (path / "a.jsonl").write_text(json.dumps(good, ensure_ascii=False) + "\n\n{broken\n" + json.dumps({"messages": []}) + "\n")
     got = {r.raw[:9]: r for r in records.read_jsonl(spark, str(path), CHAT).collect()}
     assert len(got) == 3 and not got["{broken"].valid and sum(r.valid for r in got.values()) == 2
@@ -113,11 +113,11 @@ def test_ingest_counts_the_first_failing_rule(spark):
     data = [(0, picture(1), "<p>a</p>", "en"), (1, None, "x", "en"), (2, picture(2), "  ", "en"), (3, b"broken", "y", "en"), (4, picture(4), "z", "en"), (5, None, "", "fr")]
     kept, lost = ingest.ingested(spark.createDataFrame(data, "n long, image binary, text string, lang string"), ingest.web_code("en"), F.col("n"), size=1)
     got = kept.orderBy("idx").collect()
-    assert [(r.n, r.idx, r.id, r.shard, r.member) for r in got] == [(0, 0, "web2m_000000", "images-00000.tar", "web2m_000000.png"), (4, 1, "web2m_000001", "images-00001.tar", "web2m_000001.png")]
+    assert [(r.n, r.idx, r.id, r.shard, r.member) for r in got] == [(0, 0, "crawl_000000", "images-00000.tar", "crawl_000000.png"), (4, 1, "crawl_000001", "images-00001.tar", "crawl_000001.png")]
     assert {r.reason: r["count"] for r in lost.collect()} == {"no_image": 1, "empty_text": 1, "image_decode_failed": 1, "language": 1}
     chat = ingest.chat_rows(kept, "draw").orderBy("idx").first()
-    assert chat.messages[0].content == "draw" and chat.images == ["images-00000.tar/web2m_000000.png"]
-    assert ingest.code_anything(kept, "web", "html").orderBy("image_path").first().code == "```html\n<p>a</p>\n```"
+    assert chat.messages[0].content == "draw" and chat.images == ["images-00000.tar/crawl_000000.png"]
+    assert ingest.coded_rows(kept, "web", "html").orderBy("image_path").first().code == "```html\n<p>a</p>\n```"
     for s in (ingest.web_pages(), ingest.instructions(), ingest.multimodal_code(), ingest.parquet_pages(True), ingest.archives()):
         assert s.rules and s.prefix
 

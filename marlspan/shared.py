@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a side may be broadcast; a larger side is joined by shuffle.
 BROADCAST_ROWS = 2_000_000
+#: Bytes of its plan (of its files, where it was written) up to which it may be broadcast.
+BROADCAST_BYTES = 64_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,6 +41,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def sized_join(df: DataFrame, side: DataFrame, on, how: str, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a narrow side: broadcast when its counted rows stay under limit, else by shuffle."""
+    """Join a narrow side: broadcast when its counted rows and its bytes stay under the limits, else by shuffle.
+
+    The bytes are known where the side was written; else its rows alone decide.
+    """
     n = side.count() if rows is None else rows
-    return df.join(F.broadcast(side) if n <= limit else side, on, how)
+    written = int(str(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = n <= limit and (written <= BROADCAST_BYTES or not side.inputFiles() or n <= 10_000)
+    return df.join(F.broadcast(side) if small else side, on, how)

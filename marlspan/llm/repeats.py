@@ -11,8 +11,8 @@ on the left and two that differ on the right. Each is given with all of its occu
    stack scan over the longest common prefixes yields the interval tree; intervals with one left
    extension only are dropped.
 
-Nothing is sampled or capped. Shuffled are one anchor in about 13 words, and repeated passages as
-4-byte words.
+Nothing is sampled or capped. Shuffled are one anchor in about 18 words, and repeated passages as
+3-byte words.
 
 Cases: null or empty texts and texts of under MIN_WORDS words have no repeat, nor have rows without
 doc_id; repeated rows of one doc_id are one document; a repeat may occur several times in one
@@ -34,12 +34,14 @@ from marlspan.llm.words import Words, _grown, mix, slices, words
 from marlspan.shared import cut, sized_join
 
 MIN_WORDS = 50
+#: Bytes of a word in a suffix. What begins a suffix, its anchor, is equal in 64 bits.
+UNIT = 3
 _TOP = np.uint64(2**64 - 1)
 
 
 def _sizes(min_words: int) -> tuple[int, int]:
     """Words of an anchor, and k-grams of a window."""
-    k = max(1, min_words // 2)
+    k = max(1, min_words // 3)
     return k, min_words - k + 1
 
 
@@ -137,7 +139,7 @@ def _suffixes(min_words: int):
         for b in slices(batches):
             w = words(b.column("text"))
             g, _, runs = anchors(w, min_words)
-            low = (w.hash >> np.uint64(32)).astype(">u4")
+            low = (w.hash >> np.uint64(40)).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
             rows: list[tuple] = []
             held = 0
             lists = b.column("at")
@@ -162,7 +164,7 @@ def _suffixes(min_words: int):
                     if mask:
                         left = low[max(lo, a - width) : a][::-1].tobytes()
                         rows.append((int(g[a].view(np.int64)), p, mask, left, low[a:stop].tobytes(), r))
-                        held += 4 * (stop - a)
+                        held += UNIT * (stop - a)
                         if held > 16_000_000:
                             yield _sent(b, rows)
                             rows, held = [], 0
@@ -174,11 +176,10 @@ def _suffixes(min_words: int):
 
 def _common(x: bytes, y: bytes) -> int:
     """Words that begin both."""
-    n = min(len(x), len(y)) // 4
-    a, b = np.frombuffer(x, dtype=">u4", count=n), np.frombuffer(y, dtype=">u4", count=n)
-    differ = a != b
+    n = min(len(x), len(y))
+    differ = np.frombuffer(x, dtype=np.uint8, count=n) != np.frombuffer(y, dtype=np.uint8, count=n)
     i = int(differ.argmax()) if n else 0
-    return i if n and differ[i] else n
+    return (i if n and differ[i] else n) // UNIT
 
 
 def intervals(lcp: list[int], left: list, least: int) -> Iterator[tuple[int, int, int]]:
@@ -223,7 +224,7 @@ def groups(occurrences: list[tuple[int, int, int, bytes, bytes]], min_words: int
         d, rows = todo.pop()
         # While one word precedes all, nothing starts here that could not start further left.
         while d < width:
-            before = [own[i][3][4 * d : 4 * d + 4] or None for i in rows]
+            before = [own[i][3][UNIT * d : UNIT * d + UNIT] or None for i in rows]
             if before[0] is None or any(x != before[0] for x in before):
                 break
             d += 1
@@ -234,7 +235,7 @@ def groups(occurrences: list[tuple[int, int, int, bytes, bytes]], min_words: int
             inner = [0] * len(start)
             for j in range(1, len(start)):
                 inner[j] = min(lcp[start[j - 1] + 1 : start[j] + 1])
-            for a, b, n in intervals(inner, [own[i][3][4 * d : 4 * d + 4] or None for i in start], min_words - d):
+            for a, b, n in intervals(inner, [own[i][3][UNIT * d : UNIT * d + UNIT] or None for i in start], min_words - d):
                 yield d, n + d, [(own[i][0], own[i][1] - d) for i in start[a : b + 1]]
         parts: dict[bytes, list[int]] = {}
         for i, x in zip(rows, before):

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlspan.llm.words import WORD, _IS_WORD, buffers, slices
+from marlspan.llm.words import parts as small_parts
 
 ERRORS = 0.05
 PART_CHARS = 8_000_000
@@ -169,6 +170,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) ->
 def _clean(items: list[tuple[int, str]], errors: float):
     @F.arrow_udf("boolean")
     def clean(text: pa.Array) -> pa.Array:
-        return pa.array([not search(t, items, errors) for t in normal_bytes(text)], pa.bool_())
+        return pa.array([not search(t, items, errors) for part in small_parts(text) for t in normal_bytes(part)], pa.bool_())
 
     return clean

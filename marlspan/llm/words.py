@@ -81,6 +81,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             lo = hi
 
 
+def parts(arr: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Consecutive parts of a text column with at most so many bytes each, or one row."""
+    if isinstance(arr, pa.ChunkedArray):
+        arr = arr.combine_chunks()
+    off, _ = buffers(arr)
+    lo = 0
+    while lo < len(arr):
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + most, side="right")) - 1)
+        yield arr.slice(lo, hi - lo)
+        lo = hi
+
+
 def words(arr: pa.Array) -> Words:
     off, data = buffers(arr)
     n = len(data)

@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlspan.llm.words import buffers
+from marlspan.llm.words import buffers, parts
 
 #: The bound of the labelled sample: documents a language, and bytes of its dictionary.
 SAMPLE_DOCS, DICT_BYTES = 96, 65_536
 BLOCK = 4096
 #: Bytes gained per byte of text: under SURE the exhaustive encoder measures again; under NARROW a text is rejected.
-SURE, NARROW = 0.012, 0.004
+SURE, NARROW = 0.03, 0.004
 #: Level and least match of the two encoders.
 FAST, EXHAUSTIVE = (3, 5), (12, 3)
 SEED = 17
@@ -46,11 +46,11 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DIC
         most = F.when(F.col("lang") == lang, int((1 << 30) * min(1.0, 2.0 * sample_docs / n))).otherwise(most)
     # Twice the bound is expected, so that the bound itself is met; ties of h fall by id, then text.
     found = rows.select("lang", "doc_id", h.alias("h"), F.lower("text").alias("text")).where(F.col("h") <= most)
-    parts: dict[str, list] = {}
+    own_rows: dict[str, list] = {}
     for r in found.collect():
-        parts.setdefault(r["lang"], []).append((r["h"], str(r["doc_id"]), r["text"].encode()))
+        own_rows.setdefault(r["lang"], []).append((r["h"], str(r["doc_id"]), r["text"].encode()))
     out = {}
-    for lang, own in parts.items():
+    for lang, own in own_rows.items():
         own = sorted(own)[:sample_docs]
         share = max(256, dict_bytes // len(own))
         spare = dict_bytes - sum(min(share, len(x)) for _, _, x in own)
@@ -102,9 +102,11 @@ def identified(docs: DataFrame, dicts: dict[str, bytes]) -> DataFrame:
 
     @F.arrow_udf(RESULT)
     def compressed(text: pa.Array) -> pa.Array:
-        off, data = buffers(text)
-        raw = data.tobytes()
-        got = [classify(raw[a:b], dicts) for a, b in zip(off[:-1], off[1:])]
+        got = []
+        for part in parts(text):
+            off, data = buffers(part)
+            raw = data.tobytes()
+            got += [classify(raw[a:b], dicts) for a, b in zip(off[:-1], off[1:])]
         return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["lang", "margin"])
 
     return docs.withColumn("__lang", compressed(F.lower("text")))

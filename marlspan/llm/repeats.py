@@ -7,7 +7,8 @@ on the left and two that differ on the right. Each is given with all of its occu
    repeat hold its first anchor at the same offset. Anchors that occur once can't start a repeat, nor
    can those before which all occurrences have the same words: what they lie in began further left.
 2. The suffixes at and before the remaining anchors, up to where repetition ends, go to the task of
-   their anchor: it is a contiguous part of the corpus' suffix array. There they are sorted, and a
+   their anchor, those of a run (three copies at least) as one: it is a contiguous part of the corpus'
+   suffix array. There they are sorted, and a
    stack scan over the longest common prefixes yields the interval tree; intervals with one left
    extension only are dropped.
 
@@ -16,14 +17,16 @@ Nothing is sampled or capped. Shuffled are one anchor in about 18 words, and rep
 
 Cases: null or empty texts and texts of under MIN_WORDS words have no repeat, nor have rows without
 doc_id; repeated rows of one doc_id are one document; a repeat may occur several times in one
-document; in a run (one passage again and again, copy after copy) occurrences that begin after its
-second and before its last copy are left out, as their number would grow with the square of its
-length; an empty table gives no repeats. Only doc_id and text are read.
+document; in a run (one passage again and again, copy after copy) the number of repeats and occurrences
+grows with the square of its length, so that a row may stand for several: where fewer > 0, the repeat
+without its last period words is one too, at all of these occurrences and period words after each,
+and so on, fewer times (listed() gives them all); an empty table gives no repeats. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +48,13 @@ def _sizes(min_words: int) -> tuple[int, int]:
     return k, min_words - k + 1
 
 
-def anchors(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """k-gram hashes by word (2^64 - 1: none), the anchors' words, and anchors that a run repeats."""
+def anchors(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """k-gram hashes by word (2^64 - 1: none), and the anchors' words."""
     k, width = _sizes(min_words)
     m = len(w.hash)
     none = np.zeros(0, dtype=np.int64)
     if not m:
-        return np.zeros(0, dtype=np.uint64), none, none
+        return np.zeros(0, dtype=np.uint64), none
     left = w.first[w.doc + 1] - np.arange(m)
     up, down = _grown(m + 1)
     total = np.zeros(m + 1, dtype=np.uint64)
@@ -69,25 +72,28 @@ def anchors(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         size += step
     chosen = np.zeros(m, dtype=bool)
     chosen[place[left >= min_words]] = True
-    p = np.flatnonzero(chosen)
-    # An anchor of the third copy in a row or a later one lies inside a run, if a whole copy follows.
-    again = np.zeros(len(p), dtype=bool)
-    by = np.lexsort((p, g[p], w.doc[p]))
-    q = p[by]
-    same = np.zeros(len(p), dtype=bool)
-    same[1:] = (w.doc[q[1:]] == w.doc[q[:-1]]) & (g[q[1:]] == g[q[:-1]])
-    i = np.flatnonzero(same[2:] & same[1:-1]) + 2
-    d = q[i] - q[i - 1]
-    even = (d == q[i - 1] - q[i - 2]) & (q[i] + d <= w.first[w.doc[q[i]] + 1])
-    i, d = i[even], d[even]
-
-    def between(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return (total[y] - total[x]) * down[x]
-
-    x = q[i]
-    copy = between(x - d, x)
-    again[by[i[(between(x - 2 * d, x - d) == copy) & (between(x, x + d) == copy)]]] = True
-    return g, p[~again], p[again]
+    return g, np.flatnonzero(chosen)
+
+
+def runs(w: Words, g: np.ndarray, p: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """The anchors p in groups with a period: copies that follow each other, three at least; else one, period 0."""
+    up, down = _grown(len(w.hash) + 1)
+    total = np.zeros(len(w.hash) + 1, dtype=np.uint64)
+    np.cumsum(w.hash * up[: len(w.hash)], out=total[1:])
+    q = p[np.lexsort((p, g[p], w.doc[p]))]
+    # Between neighbours of one anchor: their distance (0: others), and the words that it spans.
+    step = np.where((w.doc[q[1:]] == w.doc[q[:-1]]) & (g[q[1:]] == g[q[:-1]]), np.diff(q), 0)
+    span = (total[q[1:]] - total[q[:-1]]) * down[q[:-1]]
+    goes_on = (step[1:] > 0) & (step[1:] == step[:-1]) & (span[1:] == span[:-1])
+    i = 0
+    ends = np.flatnonzero(~goes_on)
+    while i < len(q):
+        n = 1
+        if i < len(goes_on) and goes_on[i]:
+            at = np.searchsorted(ends, i)
+            n = (int(ends[at]) if at < len(ends) else len(goes_on)) - i + 2
+        yield q[i : i + n], int(step[i]) if n > 1 else 0
+        i += n
 
 
 def _anchored(min_words: int):
@@ -96,7 +102,7 @@ def _anchored(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             w = words(b.column("text"))
-            g, p, _ = anchors(w, min_words)
+            g, p = anchors(w, min_words)
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             doc, pos = w.doc[p], p - w.first[w.doc[p]]
             full = pos >= width
@@ -128,8 +134,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sent(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-    h, p, mask, left, right, r = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(mask, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["h", "doc_id", "pos", "mask", "lefts", "rights"])
+    h, p, masks, period, left, right, r = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(masks, pa.list_(pa.int64())), pa.array(period, pa.int32()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["h", "doc_id", "pos", "masks", "period", "lefts", "rights"])
 
 
 def _suffixes(min_words: int):
@@ -138,7 +144,7 @@ def _suffixes(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             w = words(b.column("text"))
-            g, _, runs = anchors(w, min_words)
+            g, _ = anchors(w, min_words)
             low = (w.hash >> np.uint64(40)).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
             rows: list[tuple] = []
             held = 0
@@ -148,22 +154,25 @@ def _suffixes(min_words: int):
                 at = np.sort(lists[r].values.to_numpy())
                 pos = at >> 1
                 at, pos = at[pos < hi - lo], pos[pos < hi - lo]
-                chain = np.union1d(pos, runs[(runs >= lo) & (runs < hi)] - lo)
                 # Where repetition may end: the last of the chain plus all that no anchor witnesses.
-                end = np.r_[np.flatnonzero(np.diff(chain) > width), len(chain) - 1]
-                for p in pos[(at & 1) == 1].tolist():
-                    stop = min(hi, lo + int(chain[end[np.searchsorted(end, np.searchsorted(chain, p))]]) + width + k)
-                    a = lo + p
-                    mask = 0
-                    for d in range(min(width, p + 1)):
-                        if d and g[a - d] <= g[a]:
-                            break  # an earlier k-gram is the least of this and longer windows
-                        window = g[a : min(hi, a - d + width)]
-                        if hi - (a - d) >= min_words and window.min() == g[a]:
-                            mask |= 1 << d
-                    if mask:
+                end = np.r_[np.flatnonzero(np.diff(pos) > width), len(pos) - 1]
+                for own, period in runs(w, g, lo + pos[(at & 1) == 1]):
+                    masks = []
+                    for a in own.tolist():
+                        mask = 0
+                        for d in range(min(width, a - lo + 1)):
+                            if d and g[a - d] <= g[a]:
+                                break  # an earlier k-gram is the least of this and longer windows
+                            window = g[a : min(hi, a - d + width)]
+                            if hi - (a - d) >= min_words and window.min() == g[a]:
+                                mask |= 1 << d
+                        masks.append(mask)
+                    a = int(own[0])
+                    p = a - lo
+                    if any(masks):
+                        stop = min(hi, lo + int(pos[end[np.searchsorted(end, np.searchsorted(pos, own[-1] - lo))]]) + width + k)
                         left = low[max(lo, a - width) : a][::-1].tobytes()
-                        rows.append((int(g[a].view(np.int64)), p, mask, left, low[a:stop].tobytes(), r))
+                        rows.append((int(g[a].view(np.int64)), p, masks, period, left, low[a:stop].tobytes(), r))
                         held += UNIT * (stop - a)
                         if held > 16_000_000:
                             yield _sent(b, rows)
@@ -209,34 +218,115 @@ def intervals(lcp: list[int], left: list, least: int) -> Iterator[tuple[int, int
             stack.append([now, i - 1 if single else first, seen])
 
 
-def groups(occurrences: list[tuple[int, int, int, bytes, bytes]], min_words: int) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
-    """(words before the anchor, length, occurrences) of the maximal repeats of one anchor's suffixes.
+class Row(NamedTuple):
+    """Suffixes of one anchor: of each copy of a run, period words apart, or of one place (period 0).
 
-    An occurrence is (doc_id, place of the anchor, mask of starts, words before it reversed, words from it on).
+    masks: the starts before each copy's anchor; left: words before the first, reversed; right: words from it on.
     """
+
+    doc: int
+    pos: int
+    masks: tuple[int, ...]
+    period: int
+    left: bytes
+    right: bytes
+
+    def copy(self, i: int, width: int) -> tuple[bytes, bytes]:
+        """left and right of one copy."""
+        at = UNIT * i * self.period
+        near = np.frombuffer(self.right[max(0, at - UNIT * width) : at], dtype=np.uint8).reshape(-1, UNIT)[::-1].tobytes()
+        return (near + self.left)[: UNIT * width], self.right[at:]
+
+    def extent(self, period: int, i: int = 0) -> int:
+        """How many words from a copy on have a period."""
+        x = self.right[UNIT * i * self.period :]
+        return period + _common(x[UNIT * period :], x) if len(x) > UNIT * period else len(x) // UNIT
+
+
+def needed(rows: list[Row]) -> list[list[int]]:
+    """Of each row the copies to compare: all that are as far from their run's end as another row's first copies.
+
+    Repeats of other copies are these, less whole periods at their ends.
+    """
+    periods = {r.period for r in rows if r.period}
+    if not periods:
+        return [[0]] * len(rows)
+    far = {p: {r.extent(p, i) for r in rows for i in {0, min(1, len(r.masks) - 1), max(0, len(r.masks) - 2), len(r.masks) - 1}} for p in periods}
+    out = []
+    for r in rows:
+        n = len(r.masks)
+        own = {0, n - 1}
+        if r.period:
+            e = r.extent(r.period)
+            for x in far[r.period]:
+                t = max(0, -((x - e) // r.period))
+                own |= {t, t + 1}
+            others = periods - {r.period}
+            if others:  # what is shorter than two periods may have both
+                own |= set(range(max(0, (e - r.period - max(others)) // r.period), n))
+        out.append(sorted(i for i in own if i < n))
+    return out
+
+
+def groups(found: list[Row], min_words: int) -> Iterator[tuple[int, int, list[tuple[int, int]], int, int]]:
+    """(words before the anchor, length, occurrences, period, fewer) of the maximal repeats of one anchor's suffixes."""
     _, width = _sizes(min_words)
-    own = sorted(set(occurrences), key=lambda o: (o[4], o[0], o[1]))
+    rows_of = sorted(set(found))
+    own = []  # (right, doc, pos, mask, left, row, copy)
+    for r, (row, copies) in enumerate(zip(rows_of, needed(rows_of))):
+        for i in copies:
+            if row.masks[i]:
+                left, right = row.copy(i, width)
+                own.append((right, row.doc, row.pos + i * row.period, row.masks[i], left, r, i))
+    own.sort()
     if len(own) < 2:
         return
-    lcp = [0] + [_common(x[4], y[4]) for x, y in zip(own, own[1:])]
+    extent = [r.extent(r.period) if r.period else 0 for r in rows_of]
+    second = [r.copy(1, width)[0] if r.period else b"" for r in rows_of]
+    lcp = [0] + [_common(x[0], y[0]) for x, y in zip(own, own[1:])]
     todo = [(0, list(range(len(own))))]
     while todo:
         d, rows = todo.pop()
         # While one word precedes all, nothing starts here that could not start further left.
         while d < width:
-            before = [own[i][3][UNIT * d : UNIT * d + UNIT] or None for i in rows]
+            before = [own[i][4][UNIT * d : UNIT * d + UNIT] or None for i in rows]
             if before[0] is None or any(x != before[0] for x in before):
                 break
             d += 1
         if d >= width:
             continue
-        start = [i for i in rows if own[i][2] >> d & 1]
+        start = [i for i in rows if own[i][3] >> d & 1]
         if len(start) > 1:
             inner = [0] * len(start)
             for j in range(1, len(start)):
                 inner[j] = min(lcp[start[j - 1] + 1 : start[j] + 1])
-            for a, b, n in intervals(inner, [own[i][3][UNIT * d : UNIT * d + UNIT] or None for i in start], min_words - d):
-                yield d, n + d, [(own[i][0], own[i][1] - d) for i in start[a : b + 1]]
+            got = intervals(inner, [own[i][4][UNIT * d : UNIT * d + UNIT] or None for i in start], min_words - d)
+            # The longest first: they tell which shorter ones they stand for.
+            implied: set[tuple] = set()
+            for a, b, n in sorted(got, key=lambda x: -x[2]) if any(extent) else got:
+                where = {(own[i][1], own[i][2] - d) for i in start[a : b + 1]}
+                inside = set()
+                for j in range(a, b + 1):
+                    r, i = own[start[j]][5:]
+                    # Inside a run, what begins in its first copy too: the copies after it are like it.
+                    if extent[r] - i * rows_of[r].period >= n and d < rows_of[r].period and second[r][: UNIT * d] == own[start[j]][4][: UNIT * d]:
+                        inside.add(r)
+                for r in inside:
+                    row = rows_of[r]
+                    where |= {(row.doc, row.pos + i * row.period - d) for i in range(1, min(len(row.masks), (extent[r] - n) // row.period + 1))}
+                if (min(where), n) in implied:
+                    continue
+                period = fewer = 0
+                periods = {rows_of[r].period for r in inside}
+                if len(periods) == 1:
+                    [period] = periods
+                    # The next row that holds as much of it as is left.
+                    far = np.minimum.accumulate(np.array(inner[a::-1])) if a else np.zeros(0, dtype=np.int64)
+                    near = np.minimum.accumulate(np.array(inner[b + 1 :])) if b + 1 < len(start) else np.zeros(0, dtype=np.int64)
+                    joins = max([int(x) for x, j in zip(far, range(a - 1, -1, -1)) if own[start[j]][5] not in inside][:1] + [int(x) for x, j in zip(near, range(b + 1, len(start))) if own[start[j]][5] not in inside][:1] + [0])
+                    fewer = max(0, min((n + d - min_words) // period, (n - 1 - joins) // period))
+                    implied |= {(min(where), n - t * period) for t in range(1, fewer + 1)}
+                yield d, n + d, list(where), period if fewer else 0, fewer
         parts: dict[bytes, list[int]] = {}
         for i, x in zip(rows, before):
             if x is not None:
@@ -244,31 +334,41 @@ def groups(occurrences: list[tuple[int, int, int, bytes, bytes]], min_words: int
         todo += [(d + 1, p) for p in parts.values() if len(p) > 1]
 
 
+def listed(n_words: int, occurrences: Iterable[tuple[int, int]], period: int, fewer: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(length, occurrences) of all repeats that a row of the result stands for."""
+    own = set(occurrences)
+    yield n_words, sorted(own)
+    for t in range(1, fewer + 1):
+        own |= {(d, s + period) for d, s in own}
+        yield n_words - t * period, sorted(own)
+
+
 def _grouped(min_words: int):
     def found(h: int, own: list) -> Iterator[tuple]:
-        for d, n, where in groups(own, min_words):
+        for d, n, where, period, fewer in groups(own, min_words):
             where.sort()
-            yield int(mix(np.array([h & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64) + np.uint64(d * 1_000_003 + n) + np.uint64(where[0][0] & 0xFFFFFFFF) * np.uint64(31) + np.uint64(where[0][1])).view(np.int64)[0]), n, len(where), len({x for x, _ in where}), [x for x, _ in where], [y for _, y in where]
+            yield int(mix(np.array([h & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64) + np.uint64(d * 1_000_003 + n) + np.uint64(where[0][0] & 0xFFFFFFFF) * np.uint64(31) + np.uint64(where[0][1])).view(np.int64)[0]), n, len(where), len({x for x, _ in where}), [x for x, _ in where], [y for _, y in where], period, fewer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["repeat_id", "n_words", "n_occurrences", "n_docs", "doc_ids", "starts"])
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["repeat_id", "n_words", "n_occurrences", "n_docs", "doc_ids", "starts", "period", "fewer"])
 
         last, own, rows, held = None, [], [], 0
         for b in batches:
-            for h, *o in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "pos", "mask", "lefts", "rights"))):
+            for h, *o in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "pos", "masks", "period", "lefts", "rights"))):
                 if h != last:
-                    for x in found(last, own) if len(own) > 1 else ():
+                    for x in found(last, own) if own else ():
                         rows.append(x)
                         held += x[2]
                         if held > 200_000:
                             yield out(rows)
                             rows, held = [], 0
                     last, own = h, []
-                own.append(tuple(o))
-        for x in found(last, own) if len(own) > 1 else ():
+                doc, pos, masks, *rest = o
+                own.append(Row(doc, pos, tuple(masks), *rest))
+        for x in found(last, own) if own else ():
             rows.append(x)
         if rows:
             yield out(rows)
@@ -277,11 +377,11 @@ def _grouped(min_words: int):
 
 
 def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """repeat_id, n_words, n_occurrences, n_docs, and doc_ids and starts (first word, from 0) of all occurrences."""
+    """repeat_id, n_words, n_occurrences, n_docs, doc_ids and starts (first word, from 0) of all occurrences, period and fewer."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
     every = text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint").repartition(parts, "h")
     places = cut(every.mapInArrow(_repeated, "doc_id bigint, at int").groupBy("doc_id").agg(F.collect_set("at").alias("at")))
     own = sized_join(text, places, "doc_id", "inner").select("doc_id", "text", "at")
-    suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, mask bigint, lefts binary, rights binary")
-    return suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), "repeat_id bigint, n_words int, n_occurrences int, n_docs int, doc_ids array<bigint>, starts array<int>")
+    suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, lefts binary, rights binary")
+    return suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), "repeat_id bigint, n_words int, n_occurrences int, n_docs int, doc_ids array<bigint>, starts array<int>, period int, fewer int")

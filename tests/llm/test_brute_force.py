@@ -83,6 +83,39 @@ def test_runs_are_cut_to_their_ends(spark):
     assert sum(r.n_occurrences for r in got) < 500
 
 
+def brute_repeats(w: dict[int, list[str]], least: int) -> set:
+    occurrences = collections.defaultdict(list)
+    for d, x in w.items():
+        for i in range(len(x) - least + 1):
+            occurrences[tuple(x[i : i + least])].append((d, i))
+    want, todo = set(), [(own, least) for own in occurrences.values()]
+    while todo:
+        own, length = todo.pop()
+        left = [w[d][i - 1] if i else None for d, i in own]
+        after = collections.defaultdict(list)
+        for d, i in own:
+            after[w[d][i + length] if i + length < len(w[d]) else (d, i)].append((d, i))
+        if len(own) > 1 and len(after) > 1 and (None in left or len(set(left)) > 1):
+            want.add((tuple(sorted(own)), length))
+        todo += [(x, length + 1) for x in after.values() if len(x) > 1]
+    return want
+
+
+@pytest.mark.parametrize("size", [1, 3, 9, 20])
+def test_runs_of_few_copies_are_whole(spark, size):
+    rng = random.Random(size)
+    name = iter(range(10**6))
+    made = lambda n: [f"v{next(name)}" for _ in range(n)]
+    x, y, z = made(size), made(25), made(12)
+    docs = [made(5) + x * n + y[: rng.choice((3, 25))] + made(rng.randint(0, 4)) for n in range(3, 11)]
+    docs += [x * 10 + y, z + x * 3 + y, z + x * 4 + x[: size // 2] + made(3), (x * 3 + y) * 4 + made(2), x * 4, x[size // 2 :] + x * 5 + y[:9]]
+    docs += [x + y, z + x * 2 + y, (z + x * 6) * 3]
+    w = dict(enumerate(docs))
+    rows = repeats.maximal_repeats(spark.createDataFrame([(d, " ".join(t)) for d, t in w.items()], "doc_id long, text string").repartition(3), 10).collect()
+    got = [(tuple(own), n) for r in rows for n, own in repeats.listed(r.n_words, zip(r.doc_ids, r.starts), r.period, r.fewer)]
+    assert len(got) == len(set(got)) and set(got) == brute_repeats(w, 10)
+
+
 def test_jaccard_join(spark):
     rng = random.Random(1)
     base = [[rng.choice(VOCABULARY) for _ in range(80)] for _ in range(4)]

@@ -35,8 +35,8 @@ GENERATORS = (
     ("PHONE", re.compile(r"(?<![\w.])\+?\(?\d(?:[ ().\-/]{0,2}\d){6,14}(?!\w)")),
     ("IP", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w])|(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}(?::?[0-9A-Fa-f]{1,4})")),
     ("CARD", re.compile(r"(?<![\w.])\d(?:[ -]?\d){11,18}(?!\w)")),
-    ("SECRET", re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|key|bearer)[\"']?\s{0,2}(?:[:=]|is)?\s{0,2}[\"']?([^\s\"'<>]{6,200})")),
-    ("SECRET", re.compile(r"(?<![\w+/=-])[\w+/=-]{16,200}(?![\w+/=-])")),
+    ("SECRET", re.compile(r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_ -]?key|key|bearer)[\"']?\s{0,2}(?:[:=]|is)?\s{0,2}[\"']?([^\s\"'<>]{6,})")),
+    ("SECRET", re.compile(r"(?<![\w+/=-])[\w+/=-]{16,}(?![\w+/=-])")),
     ("ID", re.compile(r"(?<![\w-])\d{3}[- ]\d{2}[- ]\d{4}(?![\w-])")),
     ("IBAN", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{2,4}){3,8}(?!\w)")),
 )
@@ -56,15 +56,21 @@ _WORDS = tuple(
 )
 
 _TRIGGERS = re.compile(r"[0-9@TtSsPpKkBb](?:(?<=[0-9@])|(?<=[Tt])(?i:oken)|(?<=[Ss])(?i:ecret)|(?<=[Pp])(?i:assw|wd)|(?<=[Kk])(?i:ey)|(?<=[Bb])(?i:earer))")
-#: Characters around a trigger that hold every match with it.
+#: Characters around a trigger that hold every match with it, but for what is left of a secret's characters.
 REACH = 420
+_SOLID = re.compile(r"[^\s\"'<>]*")
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """The parts of a text around its triggers, merged."""
+    """The parts of a text around its triggers, to the ends of unbroken characters, merged."""
     out: list[list[int]] = []
     for m in _TRIGGERS.finditer(text):
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
+        if out and b <= out[-1][1]:
+            continue
+        b = _SOLID.match(text, b).end()
+        while a and (not out or a > out[-1][1]) and not (text[a - 1].isspace() or text[a - 1] in "\"'<>"):
+            a -= 1
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:
@@ -179,11 +185,11 @@ def _made(rng: random.Random, kind: str) -> tuple[str, str, int]:
         return "", digits(pick((12, 13, 14, 17, 18))), 0
     if kind == "SECRET":
         if private:
-            s = pick((hexes(40), hexes(32), mixed(rng.randint(20, 48)), "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), "ghp_" + mixed(36).replace("-", "x").replace("_", "y"), "sk-" + mixed(40)))
+            s = pick((hexes(40), hexes(32), mixed(rng.randint(20, 48)), "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)), "ghp_" + mixed(36).replace("-", "x").replace("_", "y"), "sk-" + mixed(40), mixed(rng.randint(100, 900)), "eyJ" + mixed(rng.randint(60, 900))))
             quote = pick(('"', "'", ""))
             if rng.random() < 0.15:
                 s = s.upper()
-            if s[:3] in ("AKI", "ghp", "sk-") and plain:
+            if s[:3] in ("AKI", "ghp", "sk-", "eyJ") and plain:
                 return "", s, 1
             lead = pick(("token", "TOKEN", "secret", "password", "api_key", "API-KEY", "key", "bearer"))
             return f"{lead}{pick((' = ', '=', ': ', ' '))}{quote}", s, 1

@@ -205,6 +205,20 @@ def test_private_data_held_out():
     assert pii.redact(text, spans) == 'Call [PHONE] or pay [CARD], not 4111111111111112. token = "[SECRET]" at [IP]; order 4785380592391138 in 2004.'
 
 
+@pytest.mark.parametrize("size", [150, 201, 400, 1500, 5000])
+def test_long_secrets_leave_nothing(size):
+    rng = random.Random(size)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    for alphabet in (letters + "0123456789_-", letters + "0123456789"):
+        secret = "".join(rng.choice(alphabet) for _ in range(size - 1)) + "x"
+        texts = [f"words before token={secret} and after", f'the api_key: "{secret}".', f"sent eyJ{secret} along"]
+        for text, spans in zip(texts, pii.selected(texts, *pii.trained())):
+            assert not any(secret[i : i + 12] in pii.redact(text, spans) for i in range(size - 11)), text[:30]
+    # Without a digit for long: the run is a candidate from its very beginning.
+    run = "".join(rng.choice(letters) for _ in range(size)) + "1"
+    assert (4, 4 + len(run), "SECRET") in pii.candidates(f"see {run} there")
+
+
 def test_triggers_cover_all_candidates():
     rng = random.Random(9)
     alphabet = "ab1 .@-+():4 2tokens=\"'"

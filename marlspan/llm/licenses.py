@@ -1,7 +1,7 @@
 """Licence scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
-Terms are the words and word pairs of the templates. Their document frequencies are counted over all
-documents and whole texts. Of a document three kinds of unit are compared with every template: each
+Terms are the words and word pairs of the templates, and the other words of what is compared with them.
+Their document frequencies are counted over all documents and whole texts. Of a document three kinds of unit are compared with every template: each
 line that names a licence term (NAMED), each run of lines around such a line that are mostly template
 words, and the whole text if it holds such a term. The best cosine of THRESHOLD at least is the
 document's own licence. A file named as licence file gives its licence to its directory; a document
@@ -123,8 +123,8 @@ class Scanner:
     def __init__(self, n: int, df: dict, templates=TEMPLATES) -> None:
         self.idf = {t: math.log((1 + n) / (1 + f)) + 1 for t, f in df.items()}
         self.singles = {t for t in df if isinstance(t, str)}
-        #: What a term outside the templates weighs: it is in no template, and rare.
-        self.other = math.log(1 + n) + 1
+        #: What a word that no document holds weighs.
+        self.n, self.other = n, math.log(1 + n) + 1
         self.lists: dict = {}
         self.names = [name for name, _ in templates]
         for i, (_, text) in enumerate(templates):
@@ -133,12 +133,21 @@ class Scanner:
             for t, x in v.items():
                 self.lists.setdefault(t, []).append((i, x / z))
 
-    def best(self, text: str) -> tuple[float, str | None]:
-        """Largest cosine, and its template's name; words outside the templates count in the length."""
+    def weight(self, term, others: dict[str, int]) -> float:
+        """Pairs outside the templates weigh nothing."""
+        if term in self.idf:
+            return self.idf[term]
+        return math.log((1 + self.n) / (1 + others.get(term, 0))) + 1 if isinstance(term, str) else 0.0
+
+    def best(self, text: str, others: dict[str, int] = {}) -> tuple[float, str | None]:  # noqa: B006
+        """Largest cosine, and its template's name; words outside the templates count in the length.
+
+        others: documents that hold such a word; those that it lacks are in none.
+        """
         dot = [0.0] * len(self.names)
         z = 0.0
         for t, c in terms(text).items():
-            x = c * self.idf.get(t, self.other if isinstance(t, str) else 0.0)
+            x = c * self.weight(t, others)
             z += x * x
             for i, y in self.lists.get(t, ()):
                 dot[i] += x * y
@@ -147,7 +156,7 @@ class Scanner:
         top = max(dot)
         return round(top / math.sqrt(z), 6), min(n for n, d in zip(self.names, dot) if d == top)
 
-    def scan(self, text: str | None) -> tuple[float, str | None]:
+    def scan(self, text: str | None, others: dict[str, int] = {}) -> tuple[float, str | None]:  # noqa: B006
         if not text or not _NAMED.search(text):
             return 0.0, None
         lines = text.split("\n")
@@ -164,7 +173,7 @@ class Scanner:
             if b - a > 1:
                 units.add("\n".join(lines[a:b]))
         units.add(text)
-        found = [u for u in (self.best(u) for u in units) if u[1] is not None]
+        found = [u for u in (self.best(u, others) for u in units) if u[1] is not None]
         return min(found, key=lambda u: (-u[0], u[1])) if found else (0.0, None)
 
     def mostly(self, line: str) -> bool:
@@ -175,17 +184,51 @@ class Scanner:
 _RESULT = T.StructType([T.StructField("license", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
+def _distinct(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every row's distinct words."""
+    w = words(b.column("text"))
+    by = np.lexsort((w.hash, w.doc))
+    doc, h = w.doc[by], w.hash[by]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])] if len(h) else np.zeros(0, dtype=bool)
+    return doc[new], h[new].view(np.int64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches):
+        w, df = np.unique(_distinct(b)[1], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(df.astype(np.int64))], names=["w", "df"])
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches):
+        doc, w = _distinct(b)
+        yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(doc)), pa.array(w)], names=["key", "w"])
+
+
 def own_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
     """doc_id, path, license and score of what each document itself holds (null: nothing)."""
     scanner = Scanner(*document_frequencies(docs, templates), templates)
 
     @F.arrow_udf(_RESULT)
-    def scanned(text: pa.Array) -> pa.Array:
-        got = [scanner.scan(t) for t in text.to_pylist()]
-        kept = [(n, s) if n is not None and s >= threshold else (None, None) for s, n in got]
+    def scanned(text: pa.Array, held: pa.Array) -> pa.Array:
+        kept = []
+        for t, own in zip(text.to_pylist(), held.to_pylist()):
+            known = {x["w"]: x["df"] for x in own or ()}
+            single = sorted(set(_WORD.findall(t.lower())))
+            others = {x: known.get(h, 0) for x, h in zip(single, words(pa.array(single, pa.string())).hash.view(np.int64).tolist())}
+            s, n = scanner.scan(t, others)
+            kept.append((n, s) if n is not None and s >= threshold else (None, None))
         return pa.StructArray.from_arrays([pa.array([n for n, _ in kept], pa.string()), pa.array([s for _, s in kept], pa.float64())], names=["license", "score"])
 
-    found = docs.select("doc_id", "path", scanned(F.when(F.col("text").rlike(NAMED), F.col("text"))).alias("__own"))
+    # Words of the texts that are compared, with the documents that hold them, gathered by text.
+    key = F.xxhash64("text")
+    named = docs.where(F.col("text").rlike(NAMED)).select(key.alias("key"), "text")
+    counts = cut(docs.select(F.lower("text").alias("text")).mapInArrow(_counted, "w bigint, df bigint").groupBy("w").agg(F.sum("df").alias("df")))
+    own = named.select("key", F.lower("text").alias("text")).mapInArrow(_held, "key bigint, w bigint").distinct()
+    held = cut(sized_join(own, counts, "w", "inner").groupBy("key").agg(F.collect_list(F.struct("w", "df")).alias("held")))
+    whole = named.join(held, "key", "left").select("key", scanned("text", "held").alias("__own"))
+    result = cut(whole.where("__own.license IS NOT NULL").groupBy("key").agg(F.min(F.struct("__own.license", "__own.score")).alias("__own")))
+    found = sized_join(docs.select("doc_id", "path", key.alias("key")), result, "key", "left")
     return found.select("doc_id", "path", F.col("__own.license").alias("license"), F.col("__own.score").alias("score"))
 
 

@@ -323,6 +323,18 @@ def test_license_cosine_and_inheritance(spark):
     assert s.best(unit)[0] == pytest.approx(max(cosines), abs=1e-6)
 
 
+@pytest.mark.parametrize("n", [60, 6000])
+def test_license_with_common_words_holds_as_the_corpus_grows(spark, n):
+    line = "Our widget engine is released under the MIT License."
+    common = [(i, None, "our engine and any widget is good") for i in range(2, n + 2)]
+    common += [(n + i, None, "released under the MIT license") for i in range(2, n // 20 + 2)]
+    df = spark.createDataFrame([(1, None, line), *common], "doc_id long, path string, text string")
+    [got] = licenses.own_licenses(df).where("doc_id = 1").collect()
+    scanner = licenses.Scanner(*licenses.document_frequencies(df))
+    others = {w: sum(w in t.lower().strip(".").split() for _, _, t in [(1, None, line), *common]) for w in ("our", "widget", "engine", "is")}
+    assert got.license == "MIT" and got.score == scanner.best(line, others)[0] > licenses.THRESHOLD
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"])
 def test_token_counts_equal_the_tokenizer(name, monkeypatch):
     path = public_tokenizers.path(name)

@@ -31,7 +31,7 @@ def op4_language_id(spark, sf_dir):
 
 @query
 def op6_ngram_jaccard(spark, sf_dir):
-    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+    return jaccard.near_classes(table(spark, sf_dir, "documents"))
 
 
 @query

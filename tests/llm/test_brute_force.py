@@ -135,13 +135,31 @@ def test_jaccard_join(spark):
                 if o / len(sets[a] | sets[b]) >= jaccard.THRESHOLD:
                     want[a, b] = o
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {(r.doc_id_a, r.doc_id_b): r.overlap for r in jaccard.jaccard_join(df).collect()}
-    assert all(want[k] == v for k, v in got.items())
-    assert len(got) >= 0.98 * len(want)
-    groups = collections.defaultdict(set)
-    for r in jaccard.near_groups(df).collect():
-        groups[r.group_id].add(r.doc_id)
-    assert sorted(map(len, groups.values())) == [30, 30, 30, 60]
+    least = {}
+    for d, x in sorted(sets.items()):
+        least.setdefault(frozenset(x), d)
+    pairs = {(a, b): o for (a, b), o in want.items() if a in least.values() and b in least.values()}
+    links = collections.Counter(x for pair in want for x in pair)
+    for cell in (jaccard.CELL, 700):  # of the second, a block is many cells
+        got = [(r.doc_id_a, r.doc_id_b, r.overlap) for r in jaccard.representative_pairs(df, cell=cell).collect()]
+        assert len(got) == len(set(got)) and {(a, b): o for a, b, o in got} == pairs
+        rows = jaccard.near_classes(df, cell=cell).collect()
+        assert {r.doc_id: r.n_links for r in rows} == {d: links[d] for d in sets}
+        groups = collections.defaultdict(set)
+        for r in rows:
+            groups[r.class_id].add(r.doc_id)
+        assert sorted(map(len, groups.values())) == [30, 30, 30, 60] and all(c == min(g) for c, g in groups.items())
+
+
+def test_hot_band_keys_become_stars():
+    docs = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([f"a b c d e f g h {k % 3}" for k in range(400)])], names=["doc_id", "text"])
+    got = pa.Table.from_batches(jaccard._keyed(3, 40)(iter([docs]))).to_pandas()
+    assert (got.kind == jaccard.MEMBER).sum() == 400 and got[got.kind == jaccard.MEMBER].b.nunique() == 3
+    keys = got[got.kind == jaccard.KEY]
+    assert keys.a.is_unique and (got.kind == jaccard.EDGE).sum() <= 3
+    # Keys of several slices meet at one centre, also where a batch ends within a run.
+    rows = [pa.RecordBatch.from_arrays([pa.array([2, 2], pa.int8()), pa.array([7, 7]), pa.array(x), pa.array([0, 0], pa.int32())], names=["kind", "a", "b", "c"]) for x in ([1, 4], [5, 9])]
+    assert [(r["a"], r["b"]) for b in jaccard._starred(iter(rows)) for r in b.to_pylist()] == [(4, 1), (5, 1), (9, 1)]
 
 
 def test_tiled_product_equals_sets(monkeypatch):

@@ -20,7 +20,7 @@ ROWS = [
     (7, "  \n\t ", "de", "c", 1),
 ]
 #: Names that the operators use inside, or that their results have.
-CLASHING = ("key", "block", "grams", "h", "at", "role", "predicted", "tokens", "text_", "n", "group_id", "score", "u", "v", "count", "take", "dir", "license", "raw", "payload")
+CLASHING = ("key", "block", "grams", "h", "at", "role", "predicted", "tokens", "text_", "n", "group_id", "score", "u", "v", "count", "take", "dir", "license", "raw", "payload", "node", "rep", "cell", "slot", "class_id", "__gone", "__again", "__row", "__lang", "__pii", "__len", "__hash", "__source", "__text", "__take", "__clean", "__tokens", "__own", "__path")
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +46,7 @@ RUNS = {
     "op3": lambda d, b, l: pii.private_data(d),
     "op4": lambda d, b, l: langid.language_id(d),
     "op5": lambda d, b, l: mixing.mix_sources(d),
-    "op6": lambda d, b, l: jaccard.jaccard_join(d),
+    "op6": lambda d, b, l: jaccard.near_classes(d),
     "op7": lambda d, b, l: decontam.matches(d, b),
     "op8": lambda d, b, l: licenses.license_scan(licenses.with_paths(d)),
     "op9": lambda d, b, l: tokens.token_counts(d, PATH),
@@ -80,8 +80,8 @@ def test_values_of_hard_rows(docs, benchmark, labels):
     assert p[6].text == "mail [EMAIL] or [IP] now" and p[4].text is None and p[3].text == "" and p[4].redactions == []
     m = media.media_tiles(media.rendered(docs)).where("doc_id = 4").collect()
     assert [r.error for r in m] == ["null"]
-    j = jaccard.jaccard_join(docs).collect()
-    assert [(r.doc_id_a, r.doc_id_b, r.jaccard) for r in j] == [(1, 2, 1.0)]
+    j = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.near_classes(docs).collect())
+    assert j == [(1, 1, 1), (2, 1, 1), *((d, d, 0) for d in (3, 4, 5, 6, 7))]
     kept = sorted((r.doc_id or 0) for r in jaccard.keep_one(docs).collect())
     assert kept == [0, 1, 3, 4, 5, 6, 7]
     hit = sorted((r.doc_id, r.item_id, r.distance) for r in decontam.matches(docs, benchmark).collect())

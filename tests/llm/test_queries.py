@@ -40,8 +40,8 @@ def test_jaccard_equals_its_sql(spark):
     c.execute(f"CREATE VIEW documents AS SELECT * FROM '{p + '/*.parquet' if os.path.isdir(p) else p}'")
     c.execute(jaccard.ORACLE)
     names = [d[0] for d in c.description]
-    want = {tuple(r[names.index(k)] for k in ("doc_id_a", "doc_id_b", "overlap")) for r in c.fetchall()}
-    got = {(r.doc_id_a, r.doc_id_b, r.overlap) for r in queries.QUERIES["op6_ngram_jaccard"](spark, SF).collect()}
+    want = {tuple(r[names.index(k)] for k in ("doc_id", "class_id", "n_links")) for r in c.fetchall()}
+    got = {(r.doc_id, r.class_id, r.n_links) for r in queries.QUERIES["op6_ngram_jaccard"](spark, SF).collect()}
     assert got == want and got
 
 

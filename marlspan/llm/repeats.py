@@ -13,14 +13,15 @@ on the left and two that differ on the right. Each is given with all of its occu
    extension only are dropped.
 
 Nothing is sampled or capped. Shuffled are one anchor in about 18 words, and repeated passages as
-3-byte words.
+compressed text: words are compared by 64-bit hashes, those of all the words of a passage.
 
 Cases: null or empty texts and texts of under MIN_WORDS words have no repeat, nor have rows without
 doc_id; repeated rows of one doc_id are one document; a repeat may occur several times in one
 document; in a run (one passage again and again, copy after copy) the number of repeats and occurrences
 grows with the square of its length, so that a row may stand for several: where fewer > 0, the repeat
 without its last period words is one too, at all of these occurrences and period words after each,
-and so on, fewer times (listed() gives them all); an empty table gives no repeats. Only doc_id and text are read.
+and so on, fewer times (listed() gives them all); an empty table gives no repeats. Only doc_id and
+text are read, whatever other columns there are. Ties: occurrences have no order.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,8 @@ from marlspan.llm.words import Words, _grown, mix, slices, words
 from marlspan.shared import cut, sized_join
 
 MIN_WORDS = 50
-#: Bytes of a word in a suffix. What begins a suffix, its anchor, is equal in 64 bits.
-UNIT = 3
+#: Bytes of a word's hash where suffixes are compared.
+UNIT = 8
 _TOP = np.uint64(2**64 - 1)
 
 
@@ -133,19 +135,44 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array((pos * 2 + np.repeat(diverse, n))[keep].astype(np.int32))], names=["doc_id", "at"])
 
 
+def _plain(w: Words) -> tuple[bytes, np.ndarray]:
+    """The words, a space after each, and where each begins (and the end)."""
+    size = w.end - w.start
+    at = np.concatenate([[0], np.cumsum(size + 1)])
+    out = np.full(int(at[-1]), 32, dtype=np.uint8)
+    own = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at[:-1], size) + own] = w.data[np.repeat(w.start, size) + own]
+    return out.tobytes(), at
+
+
 def _sent(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
-    h, p, masks, period, left, right, r = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(masks, pa.list_(pa.int64())), pa.array(period, pa.int32()), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["h", "doc_id", "pos", "masks", "period", "lefts", "rights"])
+    h, p, masks, period, left, body, r = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), b.column("doc_id").take(pa.array(r)), pa.array(p, pa.int32()), pa.array(masks, pa.list_(pa.int64())), pa.array(period, pa.int32()), pa.array(left, pa.int32()), pa.array(body, pa.binary())], names=["h", "doc_id", "pos", "masks", "period", "n_left", "body"])
+
+
+def _received(b: pa.RecordBatch) -> Iterator[tuple[int, "Row"]]:
+    """The anchors and suffixes of what _sent made."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for part in slices(iter([pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([unpack(x) for x in b.column("body").to_pylist()], pa.large_binary())], names=b.schema.names)]), "body"):
+        w = words(part.column("body"))
+        raw = w.hash.astype(">u8").tobytes()
+        back = w.hash[::-1].astype(">u8").tobytes()
+        first, end = w.first.tolist(), UNIT * len(w.hash)
+        rows = zip(*(part.column(c).to_pylist() for c in ("h", "doc_id", "pos", "masks", "period", "n_left")))
+        for r, (h, doc, pos, masks, period, n) in enumerate(rows):
+            a, z = UNIT * first[r], UNIT * first[r + 1]
+            yield h, Row(doc, pos, tuple(masks), period, back[end - a - UNIT * n : end - a], raw[a + UNIT * n : z])
 
 
 def _suffixes(min_words: int):
     k, width = _sizes(min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
         for b in slices(batches):
             w = words(b.column("text"))
             g, _ = anchors(w, min_words)
-            low = (w.hash >> np.uint64(40)).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
+            plain, place = _plain(w)
             rows: list[tuple] = []
             held = 0
             lists = b.column("at")
@@ -171,9 +198,9 @@ def _suffixes(min_words: int):
                     p = a - lo
                     if any(masks):
                         stop = min(hi, lo + int(pos[end[np.searchsorted(end, np.searchsorted(pos, own[-1] - lo))]]) + width + k)
-                        left = low[max(lo, a - width) : a][::-1].tobytes()
-                        rows.append((int(g[a].view(np.int64)), p, masks, period, left, low[a:stop].tobytes(), r))
-                        held += UNIT * (stop - a)
+                        begin = max(lo, a - width)
+                        rows.append((int(g[a].view(np.int64)), p, masks, period, a - begin, pack(plain[place[begin] : place[stop]]), r))
+                        held += len(rows[-1][5])
                         if held > 16_000_000:
                             yield _sent(b, rows)
                             rows, held = [], 0
@@ -343,31 +370,35 @@ def listed(n_words: int, occurrences: Iterable[tuple[int, int]], period: int, fe
         yield n_words - t * period, sorted(own)
 
 
+_RESULT = "repeat_id bigint, doc_id bigint, start int, n_words int, n_occurrences int, period int, fewer int"
+
+
 def _grouped(min_words: int):
-    def found(h: int, own: list) -> Iterator[tuple]:
+    def found(h: int, own: list[Row]) -> Iterator[tuple[int, int, list, int, int]]:
         for d, n, where, period, fewer in groups(own, min_words):
-            where.sort()
-            yield int(mix(np.array([h & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64) + np.uint64(d * 1_000_003 + n) + np.uint64(where[0][0] & 0xFFFFFFFF) * np.uint64(31) + np.uint64(where[0][1])).view(np.int64)[0]), n, len(where), len({x for x, _ in where}), [x for x, _ in where], [y for _, y in where], period, fewer
+            doc, start = min(where)
+            name = mix(np.array([h & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64) + np.uint64(d * 1_000_003 + n) + np.uint64(doc & 0xFFFFFFFF) * np.uint64(31) + np.uint64(start))
+            yield int(name.view(np.int64)[0]), n, where, period, fewer
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["repeat_id", "n_words", "n_occurrences", "n_docs", "doc_ids", "starts", "period", "fewer"])
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        many = [len(r[2]) for r in rows]
+        each = lambda x, kind: pa.array(np.repeat(np.array(x, dtype=kind), many))
+        doc, start = np.array([x for r in rows for x in r[2]], dtype=np.int64).reshape(-1, 2).T
+        cols = [each([r[0] for r in rows], np.int64), pa.array(doc), pa.array(start.astype(np.int32)), each([r[1] for r in rows], np.int32), each(many, np.int32), each([r[3] for r in rows], np.int32), each([r[4] for r in rows], np.int32)]
+        return pa.RecordBatch.from_arrays(cols, names=["repeat_id", "doc_id", "start", "n_words", "n_occurrences", "period", "fewer"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own, rows, held = None, [], [], 0
-        for b in batches:
-            for h, *o in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "pos", "masks", "period", "lefts", "rights"))):
-                if h != last:
-                    for x in found(last, own) if own else ():
-                        rows.append(x)
-                        held += x[2]
-                        if held > 200_000:
-                            yield out(rows)
-                            rows, held = [], 0
-                    last, own = h, []
-                doc, pos, masks, *rest = o
-                own.append(Row(doc, pos, tuple(masks), *rest))
+        for h, row in (x for b in batches for x in _received(b)):
+            if h != last:
+                for x in found(last, own) if len(own) > 0 else ():
+                    rows.append(x)
+                    held += len(x[2])
+                    if held > 200_000:
+                        yield out(rows)
+                        rows, held = [], 0
+                last, own = h, []
+            own.append(row)
         for x in found(last, own) if own else ():
             rows.append(x)
         if rows:
@@ -377,11 +408,11 @@ def _grouped(min_words: int):
 
 
 def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """repeat_id, n_words, n_occurrences, n_docs, doc_ids and starts (first word, from 0) of all occurrences, period and fewer."""
+    """A row for each occurrence of each repeat: repeat_id, doc_id, start (its first word, from 0), n_words, n_occurrences, period and fewer."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
     every = text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint").repartition(parts, "h")
     places = cut(every.mapInArrow(_repeated, "doc_id bigint, at int").groupBy("doc_id").agg(F.collect_set("at").alias("at")))
     own = sized_join(text, places, "doc_id", "inner").select("doc_id", "text", "at")
-    suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, lefts binary, rights binary")
-    return suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), "repeat_id bigint, n_words int, n_occurrences int, n_docs int, doc_ids array<bigint>, starts array<int>, period int, fewer int")
+    suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, n_left int, body binary")
+    return suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), _RESULT)

@@ -47,15 +47,16 @@ def test_jaccard_equals_its_sql(spark):
 
 def test_repeats_hold_in_the_texts(spark, docs):
     words = {r.doc_id: re.findall(WORD, r.text.lower()) for r in docs.collect()}
-    seen = 0
+    found = collections.defaultdict(list)
     for r in queries.QUERIES["op2_maximal_repeats"](spark, SF).collect():
-        parts = {tuple(words[d][s : s + r.n_words]) for d, s in zip(r.doc_ids, r.starts)}
-        assert len(parts) == 1 and len(next(iter(parts))) == r.n_words >= 50
-        before = [words[d][s - 1] if s else None for d, s in zip(r.doc_ids, r.starts)]
-        after = [words[d][s + r.n_words] if s + r.n_words < len(words[d]) else None for d, s in zip(r.doc_ids, r.starts)]
+        found[r.repeat_id, r.n_words].append((r.doc_id, r.start))
+    for (_, n), own in found.items():
+        parts = {tuple(words[d][s : s + n]) for d, s in own}
+        assert len(parts) == 1 and len(next(iter(parts))) == n >= 50
+        before = [words[d][s - 1] if s else None for d, s in own]
+        after = [words[d][s + n] if s + n < len(words[d]) else None for d, s in own]
         assert all(None in x or len(set(x)) > 1 for x in (before, after))
-        seen += 1
-    assert seen
+    assert found
 
 
 def test_pipeline_against_brute_force(spark, docs):

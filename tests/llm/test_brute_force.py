@@ -279,46 +279,64 @@ def test_language_id_held_out(spark):
     assert langid.classify(b"zq " * 400, dicts)[0] is None
 
 
-def test_fit_reaches_the_best_subset():
+def test_subset_sums_that_need_what_the_shares_would_take():
+    length, count = np.array([7, 4_999_999, 5_000_000]), np.array([3, 2, 2])
+    assert int((mixing.fit(length, count, 9_999_999) * length).sum()) == 9_999_999
+    # Documents are given back where the first rest can't be filled: multiples of 10 and one 7.
+    length, count = np.array([7, 10]), np.array([1, 500])
+    assert int((mixing.fit(length, count, 3337) * length).sum()) == 3337
+    assert int((mixing.fit(length, count, 3335) * length).sum()) == 3330
     rng = np.random.default_rng(5)
     for _ in range(40):
-        length = np.unique(rng.integers(1, 30, 6))
-        count = rng.integers(0, 5, len(length))
+        length = np.unique(rng.integers(1, 60, rng.integers(1, 6)))
+        count = rng.integers(0, 40, len(length))
         total = int((length * count).sum())
         budget = int(rng.integers(0, total + 3))
+        sums = 1
+        for n, c in zip(length.tolist(), count.tolist()):
+            for _ in range(c):
+                sums |= sums << n
+        best = (sums & ((1 << budget + 1) - 1)).bit_length() - 1
         take = mixing.fit(length, count, budget)
-        start = np.minimum(count, (count * budget // max(total, 1)))
-        assert (take <= count).all() and (take >= np.minimum(start, take)).all()
-        # Of what the rounded shares leave, every subset sum by brute force.
-        sums = {0}
-        for n, c in zip(length, count - (start if budget < total else 0)):
-            sums = {s + k * n for s in sums for k in range(c + 1)}
-        base = int((start * length).sum()) if budget < total else 0
-        best = max((s for s in sums if base + s <= budget), default=0) + base
-        assert int((take * length).sum()) == (total if budget >= total else best)
+        assert (take <= count).all() and (take >= 0).all() and int((take * length).sum()) == min(best, total)
+
+
+def test_budgets_spread_what_small_sources_lack():
+    assert mixing.budgets({"a": 100, "b": 10, "c": 1000}, {"a": 1, "b": 1, "c": 2}, 400) == {"a": 100, "b": 10, "c": 290}
+    assert mixing.budgets({"a": 100, "b": 0}, {"b": 1}, 50) == {"a": 0, "b": 0}
+    assert mixing.budgets({"a": 1, "b": 10**9}) == {"a": 1, "b": 700_000_000 - 1}
+    assert mixing.budgets({}) == {}
 
 
 def test_mixing_meets_the_budgets(spark):
     rng = random.Random(6)
     rows = [(k, " ".join("x" * rng.randint(1, 3) for _ in range(rng.randint(1, 40))), rng.choice("aaab")) for k in range(400)]
+    rows += [(400, "\n".join("é ß  中\t" for _ in range(9)), "b"), (401, "", "b"), (402, None, "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     total = collections.Counter()
     for _, t, s in rows:
-        total[s] += len(t.split())
-    got = mixing.mix_sources(df, {"a": 0.25, "b": 0.75}).collect()
+        total[s] += len((t or "").split())
+    got = mixing.mix_sources(df, {"a": 0.25, "b": 0.75}, total["b"] // 2).collect()
     have = collections.Counter()
     for r in got:
         have[r.source] += r.tokens
         assert r.tokens == len(rows[r.doc_id][1].split())
-    assert have == {"b": total["b"], "a": total["b"] // 3}
-    again = mixing.mix_sources(df.repartition(7), {"a": 0.25, "b": 0.75}).collect()
-    assert {r.doc_id for r in again} == {r.doc_id for r in got}
+    assert have == {"b": total["b"] // 2 * 3 // 4, "a": total["b"] // 2 // 4}
+    # Of each length the documents of least hash are the selected ones.
+    hashed = {r.doc_id: r.h for r in df.selectExpr("doc_id", f"xxhash64(doc_id, {mixing.SEED}) AS h").collect()}
+    chosen = {r.doc_id for r in got}
+    for r in got:
+        alike = [k for k, t, s in rows if s == r.source and t and len(t.split()) == r.tokens]
+        assert all(k in chosen or hashed[k] > hashed[r.doc_id] for k in alike)
+    again = mixing.keep_mixed(df.repartition(7), {"a": 0.25, "b": 0.75}, total["b"] // 2).collect()
+    assert {r.doc_id for r in again} == chosen and len(again) == len(got)
 
 
 def test_mixing_takes_repeated_rows_one_by_one(spark):
-    df = spark.createDataFrame([(1, "x y", "a")] * 7 + [(2, "x y", "b")] * 3, "doc_id long, text string, source string")
-    got = collections.Counter(r.source for r in mixing.keep_mixed(df).collect())
-    assert got == {"a": 3, "b": 3}
+    df = spark.createDataFrame([(1, "x y", "a")] * 7 + [(2, "x y", "b")] * 3 + [(None, "x y", None)] * 3, "doc_id long, text string, source string")
+    for f in (mixing.keep_mixed, mixing.mix_sources):
+        got = collections.Counter(r.source for r in f(df, {"a": 1, "b": 1, None: 2}, 12).collect())
+        assert got == {"a": 1, "b": 1, None: 3}
 
 
 def test_license_cosine_and_inheritance(spark):

@@ -1,7 +1,10 @@
 """Maximal repeats of the corpus: an interval tree over an enhanced suffix array, built where text repeats.
 
 A maximal repeat is a sequence of MIN_WORDS words at least, with two occurrences that differ (or end)
-on the left and two that differ on the right. Each is given with all of its occurrences.
+on the left and two that differ on the right. All repeats are given with all of their occurrences, but
+not one by one: a passage in g documents that vary after it is g occurrences, of each of up to g
+repeats. The result is the interval tree itself: suffixes that begin alike, in order, a row each; a
+repeat is an interval of them, and its occurrences are where they start. occurrences() lists them.
 
 1. Winnowing: of every MIN_WORDS words the least k-gram is an anchor, so that all occurrences of a
    repeat hold its first anchor at the same offset. Anchors that occur once can't start a repeat, nor
@@ -18,15 +21,18 @@ compressed text: words are compared by 64-bit hashes, those of all the words of
 Cases: null or empty texts and texts of under MIN_WORDS words have no repeat, nor have rows without
 doc_id; repeated rows of one doc_id are one document; a repeat may occur several times in one
 document; in a run (one passage again and again, copy after copy) the number of repeats and occurrences
-grows with the square of its length, so that a row may stand for several: where fewer > 0, the repeat
-without its last period words is one too, at all of these occurrences and period words after each,
-and so on, fewer times (listed() gives them all); an empty table gives no repeats. Only doc_id and
+grows with the square of its length, so that a row may stand for several: where period > 0, suffixes
+begin at start and a period after each other, as long as their words lie within reach words from start,
+and where a repeat has fewer > 0, it without its last period words is one too, at all of these
+occurrences and period words after each, and so on, fewer times; an empty table gives no repeats. Only doc_id and
 text are read, whatever other columns there are. Ties: occurrences have no order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import hashlib
+from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -295,8 +301,21 @@ def needed(rows: list[Row]) -> list[list[int]]:
     return out
 
 
-def groups(found: list[Row], min_words: int) -> Iterator[tuple[int, int, list[tuple[int, int]], int, int]]:
-    """(words before the anchor, length, occurrences, period, fewer) of the maximal repeats of one anchor's suffixes."""
+class Tree(NamedTuple):
+    """The suffixes of one start before one anchor, in order, and their intervals that are maximal repeats.
+
+    suffixes: (doc, start, period, reach): in a run, further suffixes begin a period after each other, and
+    so many words from the first start on have the period. repeats: (first and last suffix, words,
+    occurrences, period, fewer).
+    """
+
+    name: int
+    suffixes: list[tuple[int, int, int, int]]
+    repeats: list[tuple[int, int, int, int, int, int]]
+
+
+def trees(h: int, found: list[Row], min_words: int) -> Iterator[Tree]:
+    """The trees of one anchor's suffixes."""
     _, width = _sizes(min_words)
     rows_of = sorted(set(found))
     own = []  # (right, doc, pos, mask, left, row, copy)
@@ -325,35 +344,15 @@ def groups(found: list[Row], min_words: int) -> Iterator[tuple[int, int, list[tu
         start = [i for i in rows if own[i][3] >> d & 1]
         if len(start) > 1:
             inner = [0] * len(start)
-            for j in range(1, len(start)):
-                inner[j] = min(lcp[start[j - 1] + 1 : start[j] + 1])
-            got = intervals(inner, [own[i][4][UNIT * d : UNIT * d + UNIT] or None for i in start], min_words - d)
-            # The longest first: they tell which shorter ones they stand for.
-            implied: set[tuple] = set()
-            for a, b, n in sorted(got, key=lambda x: -x[2]) if any(extent) else got:
-                where = {(own[i][1], own[i][2] - d) for i in start[a : b + 1]}
-                inside = set()
-                for j in range(a, b + 1):
-                    r, i = own[start[j]][5:]
-                    # Inside a run, what begins in its first copy too: the copies after it are like it.
-                    if extent[r] - i * rows_of[r].period >= n and d < rows_of[r].period and second[r][: UNIT * d] == own[start[j]][4][: UNIT * d]:
-                        inside.add(r)
-                for r in inside:
-                    row = rows_of[r]
-                    where |= {(row.doc, row.pos + i * row.period - d) for i in range(1, min(len(row.masks), (extent[r] - n) // row.period + 1))}
-                if (min(where), n) in implied:
-                    continue
-                period = fewer = 0
-                periods = {rows_of[r].period for r in inside}
-                if len(periods) == 1:
-                    [period] = periods
-                    # The next row that holds as much of it as is left.
-                    far = np.minimum.accumulate(np.array(inner[a::-1])) if a else np.zeros(0, dtype=np.int64)
-                    near = np.minimum.accumulate(np.array(inner[b + 1 :])) if b + 1 < len(start) else np.zeros(0, dtype=np.int64)
-                    joins = max([int(x) for x, j in zip(far, range(a - 1, -1, -1)) if own[start[j]][5] not in inside][:1] + [int(x) for x, j in zip(near, range(b + 1, len(start))) if own[start[j]][5] not in inside][:1] + [0])
-                    fewer = max(0, min((n + d - min_words) // period, (n - 1 - joins) // period))
-                    implied |= {(min(where), n - t * period) for t in range(1, fewer + 1)}
-                yield d, n + d, list(where), period if fewer else 0, fewer
+            if len(start) == len(rows) and rows[-1] - rows[0] + 1 == len(rows):
+                inner[1:] = lcp[rows[0] + 1 : rows[-1] + 1]
+            else:
+                for j in range(1, len(start)):
+                    inner[j] = min(lcp[start[j - 1] + 1 : start[j] + 1])
+            got = list(intervals(inner, [own[i][4][UNIT * d : UNIT * d + UNIT] or None for i in start], min_words - d))
+            if got:
+                name = hashlib.blake2b(own[start[0]][4][: UNIT * d], digest_size=8, key=(h & 0xFFFFFFFFFFFFFFFF).to_bytes(8)).digest()
+                yield _tree(int.from_bytes(name, signed=True), d, [own[i] for i in start], inner, got, rows_of, extent, second, min_words)
         parts: dict[bytes, list[int]] = {}
         for i, x in zip(rows, before):
             if x is not None:
@@ -361,54 +360,100 @@ def groups(found: list[Row], min_words: int) -> Iterator[tuple[int, int, list[tu
         todo += [(d + 1, p) for p in parts.values() if len(p) > 1]
 
 
-def listed(n_words: int, occurrences: Iterable[tuple[int, int]], period: int, fewer: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(length, occurrences) of all repeats that a row of the result stands for."""
-    own = set(occurrences)
-    yield n_words, sorted(own)
-    for t in range(1, fewer + 1):
-        own |= {(d, s + period) for d, s in own}
-        yield n_words - t * period, sorted(own)
-
-
-_RESULT = "repeat_id bigint, doc_id bigint, start int, n_words int, n_occurrences int, period int, fewer int"
+def _tree(name: int, d: int, own: list[tuple], inner: list[int], got: list[tuple[int, int, int]], rows_of: list[Row], extent: list[int], second: list[bytes], min_words: int) -> Tree:
+    suffixes, run = [], False
+    for _, doc, pos, _, left, r, i in own:
+        period = rows_of[r].period
+        # Copies after the second are like it; they are told by the first and the second.
+        inside = extent[r] and d < period and i < 2 and second[r][: UNIT * d] == left[: UNIT * d]
+        suffixes.append((doc, pos - d, period, extent[r] - i * period + d) if inside else (doc, pos - d, 0, 0))
+        run = run or bool(inside)
+    if not run:
+        return Tree(name, suffixes, [(a, b, n + d, b - a + 1, 0, 0) for a, b, n in got])
+    repeats = []
+    # The longest first: they tell which shorter ones they stand for.
+    implied: set[tuple] = set()
+    for a, b, n in sorted(got, key=lambda x: -x[2]):
+        where = {(doc, s + j * p) for doc, s, p, reach in suffixes[a : b + 1] for j in (range((reach - n - d) // p + 1) if p and reach >= n + d else (0,))}
+        if (min(where), n) in implied:
+            continue
+        inside = {own[j][5] for j in range(a, b + 1) if suffixes[j][2] and suffixes[j][3] >= n + d}
+        period = fewer = 0
+        periods = {rows_of[r].period for r in inside}
+        if len(periods) == 1:
+            [period] = periods
+            # The next row that holds as much of it as is left.
+            far = np.minimum.accumulate(np.array(inner[a::-1])) if a else np.zeros(0, dtype=np.int64)
+            near = np.minimum.accumulate(np.array(inner[b + 1 :])) if b + 1 < len(own) else np.zeros(0, dtype=np.int64)
+            joins = max([int(x) for x, j in zip(far, range(a - 1, -1, -1)) if own[j][5] not in inside][:1] + [int(x) for x, j in zip(near, range(b + 1, len(own))) if own[j][5] not in inside][:1] + [0])
+            fewer = max(0, min((n + d - min_words) // period, (n - 1 - joins) // period))
+            implied |= {(min(where), n - t * period) for t in range(1, fewer + 1)}
+        repeats.append((a, b, n + d, len(where), period if fewer else 0, fewer))
+    return Tree(name, suffixes, repeats)
+
+
+_REPEAT = [("last", pa.int64()), ("n_words", pa.int32()), ("n_occurrences", pa.int32()), ("period", pa.int32()), ("fewer", pa.int32())]
+_RESULT = "group_id bigint, place bigint, doc_id bigint, start int, period int, reach int, repeats array<struct<last: bigint, n_words: int, n_occurrences: int, period: int, fewer: int>>"
+
+
+def _listed(many: list[Tree]) -> pa.RecordBatch:
+    """Rows of the trees' suffixes that are in a repeat; each repeat stands at its first suffix."""
+    name, place, suffix, opens, repeats = [], [], [], [], []
+    for t in many:
+        covered = np.zeros(len(t.suffixes) + 1, dtype=np.int64)
+        for a, b, *_ in t.repeats:
+            covered[a] += 1
+            covered[b + 1] -= 1
+        at = np.flatnonzero(np.cumsum(covered)[:-1]).tolist()
+        own: dict[int, list[tuple]] = {}
+        for a, *rest in t.repeats:
+            own.setdefault(a, []).append(rest)
+        name += [t.name] * len(at)
+        place += at
+        suffix += [t.suffixes[i] for i in at]
+        for i in at:
+            x = own.get(i, ())
+            opens.append(len(x))
+            repeats += x
+    doc, start, period, reach = np.array(suffix, dtype=np.int64).reshape(-1, 4).T
+    inner = np.array(repeats, dtype=np.int64).reshape(-1, 5).T
+    fields = pa.StructArray.from_arrays([pa.array(x).cast(kind) for x, (_, kind) in zip(inner, _REPEAT)], names=[n for n, _ in _REPEAT])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(opens)]).astype(np.int32)), fields)
+    return pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(place, pa.int64()), pa.array(doc), *(pa.array(x.astype(np.int32)) for x in (start, period, reach)), lists], names=["group_id", "place", "doc_id", "start", "period", "reach", "repeats"])
 
 
 def _grouped(min_words: int):
-    def found(h: int, own: list[Row]) -> Iterator[tuple[int, int, list, int, int]]:
-        for d, n, where, period, fewer in groups(own, min_words):
-            doc, start = min(where)
-            name = mix(np.array([h & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64) + np.uint64(d * 1_000_003 + n) + np.uint64(doc & 0xFFFFFFFF) * np.uint64(31) + np.uint64(start))
-            yield int(name.view(np.int64)[0]), n, where, period, fewer
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        many = [len(r[2]) for r in rows]
-        each = lambda x, kind: pa.array(np.repeat(np.array(x, dtype=kind), many))
-        doc, start = np.array([x for r in rows for x in r[2]], dtype=np.int64).reshape(-1, 2).T
-        cols = [each([r[0] for r in rows], np.int64), pa.array(doc), pa.array(start.astype(np.int32)), each([r[1] for r in rows], np.int32), each(many, np.int32), each([r[3] for r in rows], np.int32), each([r[4] for r in rows], np.int32)]
-        return pa.RecordBatch.from_arrays(cols, names=["repeat_id", "doc_id", "start", "n_words", "n_occurrences", "period", "fewer"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own, rows, held = None, [], [], 0
-        for h, row in (x for b in batches for x in _received(b)):
+        last, own, made, held = None, [], [], 0
+        for h, row in chain((x for b in batches for x in _received(b)), [(None, None)]):
             if h != last:
-                for x in found(last, own) if len(own) > 0 else ():
-                    rows.append(x)
-                    held += len(x[2])
-                    if held > 200_000:
-                        yield out(rows)
-                        rows, held = [], 0
+                for t in trees(last, own, min_words) if len(own) > 0 else ():
+                    made.append(t)
+                    held += len(t.suffixes)
+                if held > 100_000:
+                    yield _listed(made)
+                    made, held = [], 0
                 last, own = h, []
             own.append(row)
-        for x in found(last, own) if own else ():
-            rows.append(x)
-        if rows:
-            yield out(rows)
+        if made:
+            yield _listed(made)
 
     return run
 
 
+def occurrences(found: DataFrame) -> DataFrame:
+    """Of maximal_repeats' rows every occurrence of every repeat: group_id, first (the repeat's place), whole_words
+    (of the row that it is of), n_words, doc_id, start. Their number may grow with the square of the rows."""
+    repeat = found.select("group_id", F.col("place").alias("first"), F.explode("repeats").alias("r")).select("group_id", "first", "r.last", "r.n_words", F.col("r.period").alias("step"), "r.fewer")
+    both = repeat.join(found.select("group_id", "place", "doc_id", "start", "period", "reach"), "group_id").where("place BETWEEN first AND last")
+    copies = F.when((F.col("period") > 0) & (F.col("reach") >= F.col("n_words")), F.expr("(reach - n_words) div period")).otherwise(0).cast("int")
+    less = both.select("*", F.explode(F.sequence(F.lit(0), copies)).alias("j")).select("*", F.explode(F.sequence(F.lit(0), F.col("fewer"))).alias("t")).select("*", F.explode(F.sequence(F.lit(0), F.col("t"))).alias("u"))
+    return less.select("group_id", "first", F.col("n_words").alias("whole_words"), F.expr("n_words - t * step").alias("n_words"), "doc_id", F.expr("start + j * period + u * step").alias("start")).distinct()
+
+
 def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each occurrence of each repeat: repeat_id, doc_id, start (its first word, from 0), n_words, n_occurrences, period and fewer."""
+    """Groups of suffixes in order, and the intervals of them that are repeats: group_id, place (in the order), doc_id, start
+    (the suffix's first word, from 0), period and reach, repeats (those whose interval begins here, to its last place)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
     every = text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint").repartition(parts, "h")

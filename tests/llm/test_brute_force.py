@@ -46,18 +46,20 @@ def test_words_match_the_regular_expression():
 
 
 def found_repeats(spark, docs: list, least: int) -> list[tuple]:
-    """(occurrences, words, period, fewer) of all repeats."""
+    """(occurrences, words) of all repeats."""
+    found = repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), least).cache()
     own = collections.defaultdict(list)
-    for r in repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), least).collect():
-        own[r.repeat_id, r.n_words, r.period, r.fewer, r.n_occurrences].append((r.doc_id, r.start))
-    assert all(len(set(x)) == len(x) == k[4] for k, x in own.items())
-    return [(tuple(sorted(x)), *k[1:4]) for k, x in own.items()]
+    for r in repeats.occurrences(found).collect():
+        own[r.group_id, r.first, r.whole_words, r.n_words].append((r.doc_id, r.start))
+    told = {(r.group_id, r.place, x.n_words): x.n_occurrences for r in found.collect() for x in r.repeats}
+    assert all(len(own[g, f, n, n]) == c for (g, f, n), c in told.items())
+    return [(tuple(sorted(x)), k[3]) for k, x in own.items()]
 
 
 def test_words_that_are_alike_in_24_bits_stay_apart(spark):
     words_of = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
     docs = [(1, f"{words_of('p', 60)} q1110 {words_of('z', 60)}"), (2, f"{words_of('p', 60)} q3631 {words_of('z', 60)}")]
-    assert sorted(found_repeats(spark, docs, 50)) == [(((1, 0), (2, 0)), 60, 0, 0), (((1, 61), (2, 61)), 60, 0, 0)]
+    assert sorted(found_repeats(spark, docs, 50)) == [(((1, 0), (2, 0)), 60), (((1, 61), (2, 61)), 60)]
 
 
 @pytest.mark.parametrize("least,n,seed", [(10, 30, 3), (14, 25, 5), (7, 20, 8)])
@@ -85,7 +87,7 @@ def test_maximal_repeats(spark, least, n, seed):
     for own in occurrences.values():
         grow(own, least)
     got = found_repeats(spark, docs, least)
-    assert want and {(own, n) for own, n, *_ in got} == want and len(got) == len(want)
+    assert want and set(got) == want and len(got) == len(want)
 
 
 def test_runs_are_cut_to_their_ends(spark):
@@ -94,7 +96,8 @@ def test_runs_are_cut_to_their_ends(spark):
     got = found_repeats(spark, docs, 8)
     assert max(n for own, n, *_ in got if {1, 2} <= {d for d, _ in own}) == 14 * 300
     assert (((3, 0), (3, 1)), 2999) in [x[:2] for x in got]
-    assert sum(len(x[0]) for x in got) < 500
+    found = repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string"), 8)
+    assert found.count() < 500
 
 
 def brute_repeats(w: dict[int, list[str]], least: int) -> set:
@@ -125,8 +128,7 @@ def test_runs_of_few_copies_are_whole(spark, size):
     docs += [x * 10 + y, z + x * 3 + y, z + x * 4 + x[: size // 2] + made(3), (x * 3 + y) * 4 + made(2), x * 4, x[size // 2 :] + x * 5 + y[:9]]
     docs += [x + y, z + x * 2 + y, (z + x * 6) * 3]
     w = dict(enumerate(docs))
-    rows = found_repeats(spark, [(d, " ".join(t)) for d, t in w.items()], 10)
-    got = [(tuple(own), n) for where, n_words, period, fewer in rows for n, own in repeats.listed(n_words, where, period, fewer)]
+    got = found_repeats(spark, [(d, " ".join(t)) for d, t in w.items()], 10)
     assert len(got) == len(set(got)) and set(got) == brute_repeats(w, 10)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from marlspan.llm import decontam, jaccard, langid, pii, queries
+from marlspan.llm import decontam, jaccard, langid, pii, queries, repeats
 from marlspan.llm.words import WORD
 
 SF = "/root/testdata/sf0.001"
@@ -48,9 +48,9 @@ def test_jaccard_equals_its_sql(spark):
 def test_repeats_hold_in_the_texts(spark, docs):
     words = {r.doc_id: re.findall(WORD, r.text.lower()) for r in docs.collect()}
     found = collections.defaultdict(list)
-    for r in queries.QUERIES["op2_maximal_repeats"](spark, SF).collect():
-        found[r.repeat_id, r.n_words].append((r.doc_id, r.start))
-    for (_, n), own in found.items():
+    for r in repeats.occurrences(queries.QUERIES["op2_maximal_repeats"](spark, SF)).collect():
+        found[r.group_id, r.first, r.whole_words, r.n_words].append((r.doc_id, r.start))
+    for (*_, n), own in found.items():
         parts = {tuple(words[d][s : s + n]) for d, s in own}
         assert len(parts) == 1 and len(next(iter(parts))) == n >= 50
         before = [words[d][s - 1] if s else None for d, s in own]

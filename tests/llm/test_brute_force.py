@@ -414,35 +414,77 @@ def test_prefix_scan_composes_maps():
     assert tokens.compose(maps, fresh).tolist() == want
 
 
-def test_cross_parsing_equals_greedy_search():
+def greedy_phrases(text: bytes, reference: list[bytes]) -> int:
+    i = c = 0
+    while i < len(text):
+        n = 1
+        while i + n <= len(text) and any(text[i : i + n] in r for r in reference):
+            n += 1
+        i, c = i + max(1, n - 1), c + 1
+    return c
+
+
+@pytest.mark.parametrize("few,far", [(0, 64), (2, 8), (50, 8), (50, 64)])
+def test_cross_parsing_equals_greedy_search(monkeypatch, few, far):
+    monkeypatch.setattr(lmscore, "FEW", few)
+    monkeypatch.setattr(lmscore, "FAR", far)
     rng = random.Random(1)
-    for _ in range(15):
-        reference = bytes(rng.choice(b"abcd ") for _ in range(rng.randint(0, 400)))
-        texts = [bytes(rng.choice(b"abcde ") for _ in range(rng.randint(0, 5000))) for _ in range(4)]
-        want = []
-        for t in texts:
-            c = 0
-            for a in range(0, len(t), lmscore.SEGMENT):
-                z, i = t[a : a + lmscore.SEGMENT], 0
-                while i < len(z):
-                    n = 1
-                    while i + n <= len(z) and z[i : i + n] in reference:
-                        n += 1
-                    i, c = i + max(1, n - 1), c + 1
-            want.append(c)
+    for k in range(15):
+        letters = b"ab" if k % 3 == 0 else b"abcd \x00\xc3"
+        parts = sorted({bytes(rng.choice(letters) for _ in range(rng.randint(1, 90))) for _ in range(rng.randint(0, 6))})
+        texts = [bytes(rng.choice(letters + b"e") for _ in range(rng.randint(0, 700))) for _ in range(6)] + parts[:2] + [b"".join(parts), b"ab" * 300]
+        reference = lmscore.Reference(parts).prepared()
+        whole = reference.data.tobytes()
+        assert reference.order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
         off = np.cumsum([0] + [len(t) for t in texts])
-        assert lmscore.cross_phrases(off, np.frombuffer(b"".join(texts), dtype=np.uint8), *lmscore.automaton(reference)).tolist() == want
+        got = reference.phrases(off, np.frombuffer(b"".join(texts), dtype=np.uint8))
+        assert got.tolist() == [greedy_phrases(t, [x for x in parts if x != t]) for t in texts]
     assert lmscore.own_phrases(b"aababcab") == 4 and lmscore.own_phrases(b"") == 0
 
 
-def test_cross_parse_uses_other_documents_and_prefers_like_text(spark):
+def cross_fixture(spark):
     rng = random.Random(8)
     make = lambda stems: " ".join("".join(rng.choice(stems) for _ in range(3)) for _ in range(120))
     rows = [(k, make(["th", "er", "on", "an"]) if k % 4 else make(["xq", "zk", "vw", "jy"])) for k in range(80)]
-    labels = spark.createDataFrame([(k, 1, 0) for k in range(80) if k % 4], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r for r in lmscore.cross_parse(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
-    assert max(got[k].relative_entropy for k in range(80) if k % 4) < min(got[k].relative_entropy for k in range(0, 80, 4))
-    assert all(r.phrases > 5 for r in got.values())
+    rows += [(80, rows[5][1]), (81, rows[8][1]), (None, rows[8][1]), (82, "alone"), (82, "alone"), (None, "neither"), (83, None), (84, "")]
+    labels = [(k, 1, 0) for k in range(80) if k % 4] + [(5, 1, None), (9, 1, 1), (13, 0, 0), (None, 1, 0), (82, None, 0)]
+    return rows, labels, spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_cross_scores_by_definition(spark):
+    rows, labels, docs, table = cross_fixture(spark)
+    good = {k for k, q, _ in labels if q == 1} - {k for k, _, t in labels if t} - {None}
+    texts = {t.encode() for k, t in rows if k in good}
+    got = lmscore.cross_parse(docs, table, rate=1e9).collect()
+    assert len(got) == len(rows)
+    by_text = dict(zip([(r.doc_id, r.n_bytes) for r in got], got))
+    for k, t in rows:
+        r = by_text[k, len(t or "")]
+        if not t:
+            assert r.phrases == 0 and r.cross_entropy is None and r.relative_entropy is None
+            continue
+        others = [x for x in texts if x != t.encode()]
+        copied = len({d if d is not None else ("none", n) for n, (d, x) in enumerate(rows) if x == t}) > 1
+        c = 1 if copied else greedy_phrases(t.encode(), others)
+        m = sum(map(len, others))
+        s = lmscore.own_phrases(t.encode())
+        assert (r.copied, r.phrases, r.own_phrases, r.reference_bytes) == (copied, c, s, m)
+        assert r.cross_entropy == pytest.approx(c * math.log2(m) / len(t), abs=1e-6)
+        assert r.relative_entropy == pytest.approx((c * math.log2(m) - s * math.log2(s)) / len(t), abs=1e-6)
+
+
+def test_cross_parse_scores_equal_texts_alike_and_prefers_like_text(spark):
+    rows, _, docs, table = cross_fixture(spark)
+    for rate in (lmscore.RATE, 100):
+        got = lmscore.cross_parse(docs.repartition(5), table, rate=rate).collect()
+        score = collections.defaultdict(set)
+        for r in got:
+            score[dict(rows)[r.doc_id] if r.doc_id is not None else r.n_bytes].add((r.phrases, r.cross_entropy))
+        assert all(len(x) == 1 for x in score.values())
+        own = {r.doc_id: r for r in got if r.doc_id is not None and not r.copied and r.doc_id < 80}
+        assert max(r.relative_entropy for k, r in own.items() if k % 4) < min(r.relative_entropy for k, r in own.items() if k % 4 == 0)
+    none = lmscore.cross_parse(docs, table.limit(0)).collect()
+    assert {r.phrases for r in none if not r.copied} == {r.n_bytes for r in none if not r.copied}
 
 
 def upscaled(image, h, w):

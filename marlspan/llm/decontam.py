@@ -1,7 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and items are normalised alike: lower case, every run of bytes outside words is one space.
-An item of m characters may differ by k = floor(ERRORS m) edits. It is split into k + 1 pieces; if
+Texts and items are normalised alike: lower case, every run of bytes outside words is one space, and
+a space stands at both ends, so that whole words are compared. An item of m characters within these
+may differ by k = floor(ERRORS m) edits. It is split into k + 1 pieces; if
 some part of a document is within k edits, one piece at least occurs in it exactly. An Aho-Corasick
 automaton finds all piece hits in the whole document, and Myers' bit-parallel algorithm measures the
 window that a hit allows. The distance is the least over all windows, and equals that of the best
@@ -9,8 +10,9 @@ substring of the document.
 
 Cases: null or empty texts and texts without words never match, nor do items without words; items
 that normalise alike each get their rows; repeated documents each get theirs; a null doc_id matches
-in the filter and is left out of the pairs; empty tables give no pairs; texts of any length are
-searched whole. A benchmark of more than PART_CHARS characters is searched in several passes.
+in the filter and is left out of the pairs; an empty benchmark matches nothing, an empty table gives no
+pairs; texts of any length are searched whole. The benchmark is sent to the tasks in parts of
+PART_CHARS characters at most (or one item): a larger one is searched in several passes over the texts.
 """
 
 from __future__ import annotations
@@ -30,11 +32,12 @@ from marlspan.llm.words import parts as small_parts
 ERRORS = 0.05
 PART_CHARS = 8_000_000
 _WORD = re.compile(WORD)
-_made: dict = {}
 
 
 def normal(text: str) -> str:
-    return " ".join(_WORD.findall(text.lower()))
+    """The words, a space before and after each; "" without a word."""
+    found = _WORD.findall(text.lower())
+    return f" {' '.join(found)} " if found else ""
 
 
 def distance(item: str, text: str, most: int) -> int:
@@ -88,21 +91,35 @@ def parts(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
     return out
 
 
-def _automaton(items: list[tuple[int, str]], errors: float):
-    """Pieces as the bytes that they are in UTF-8, each with (item's place, bytes before the piece)."""
-    key = (errors, len(items), hash(tuple(items)))
-    if key not in _made:
-        _made.clear()
-        where: dict[str, list[tuple[int, int]]] = {}
-        for i, (_, text) in enumerate(items):
-            for at, piece in pieces(text, int(errors * len(text))):
-                where.setdefault(piece.encode().decode("latin-1"), []).append((i, len(text[:at].encode())))
-        found = ahocorasick.Automaton()
-        for piece, own in where.items():
-            found.add_word(piece, (len(piece), own))
-        found.make_automaton()
-        _made[key] = found
-    return _made[key]
+def budget(item: str, errors: float) -> int:
+    """Edits that a normalised item may differ by."""
+    return int(errors * (len(item) - 2))
+
+
+class Items:
+    """Items with the automaton of their pieces, which each process builds once."""
+
+    def __init__(self, items: list[tuple[int, str]], errors: float) -> None:
+        self.items, self.errors, self.built = items, errors, None
+
+    def __getstate__(self) -> tuple:
+        return self.items, self.errors, None
+
+    def __setstate__(self, state: tuple) -> None:
+        self.items, self.errors, self.built = state
+
+    def automaton(self):
+        """Pieces as the bytes that they are in UTF-8, each with (item's place, bytes before the piece)."""
+        if self.built is None:
+            where: dict[str, list[tuple[int, int]]] = {}
+            for i, (_, text) in enumerate(self.items):
+                for at, piece in pieces(text, budget(text, self.errors)):
+                    where.setdefault(piece.encode().decode("latin-1"), []).append((i, len(text[:at].encode())))
+            self.built = ahocorasick.Automaton()
+            for piece, own in where.items():
+                self.built.add_word(piece, (len(piece), own))
+            self.built.make_automaton()
+        return self.built
 
 
 def normal_bytes(arr: pa.Array) -> Iterator[str]:
@@ -115,17 +132,19 @@ def normal_bytes(arr: pa.Array) -> Iterator[str]:
     at = np.concatenate([[0], np.cumsum(keep)])[off]
     raw = np.where(word, data, 32)[keep].astype(np.uint8).tobytes().decode("latin-1")
     for a, b in zip(at[:-1], at[1:]):
-        yield raw[a:b].rstrip(" ")
+        own = raw[a:b].rstrip(" ")
+        yield f" {own} " if own else ""
 
 
-def search(text: str, items: list[tuple[int, str]], errors: float) -> dict[int, int]:
+def search(text: str, given: Items) -> dict[int, int]:
     """Place of each matching item, and its distance; text as of normal_bytes."""
     best: dict[int, int] = {}
     done: dict[int, list[tuple[int, int]]] = {}
-    for end, (length, own) in _automaton(items, errors).iter(text):
+    items = given.items
+    for end, (length, own) in given.automaton().iter(text) if items else ():
         for i, before in own:
             item = items[i][1]
-            k = int(errors * len(item))
+            k = budget(item, given.errors)
             if best.get(i, k + 1) == 0:
                 continue
             # In bytes an edit is 4 at most.
@@ -146,11 +165,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> Da
     """doc_id, item_id, distance: every document and item within the item's error budget."""
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
     found = None
-    for items in parts(benchmark):
+    for sent in _sent(benchmark, errors):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            given = sent.value
             for b in slices(batches):
-                rows = [(d, items[i][0], n) for d, t in zip(b.column("doc_id").to_pylist(), normal_bytes(b.column("text"))) for i, n in (search(t, items, errors) if items else {}).items()]
+                rows = [(d, given.items[i][0], n) for d, t in zip(b.column("doc_id").to_pylist(), normal_bytes(b.column("text"))) for i, n in search(t, given).items()]
                 doc, item, n = zip(*rows) if rows else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(item, pa.int64()), pa.array(n, pa.int32())], names=["doc_id", "item_id", "distance"])
 
@@ -161,15 +181,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> Da
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, errors: float = ERRORS) -> DataFrame:
     """docs without the documents that match an item; their columns as they came."""
-    for items in parts(benchmark):
-        if items:
-            docs = docs.withColumn("__clean", _clean(items, errors)(F.lower("text"))).where("__clean").drop("__clean")
+    for sent in _sent(benchmark, errors):
+        docs = docs.where(_clean(sent)(F.lower("text")))
     return docs
 
 
-def _clean(items: list[tuple[int, str]], errors: float):
+def _sent(benchmark: DataFrame, errors: float) -> list:
+    """The benchmark's parts as broadcasts, each of a bounded size."""
+    return [benchmark.sparkSession.sparkContext.broadcast(Items(items, errors)) for items in parts(benchmark)]
+
+
+def _clean(sent):
     @F.arrow_udf("boolean")
     def clean(text: pa.Array) -> pa.Array:
-        return pa.array([not search(t, items, errors) for part in small_parts(text) for t in normal_bytes(part)], pa.bool_())
+        return pa.array([not search(t, sent.value) for part in small_parts(text) for t in normal_bytes(part)], pa.bool_())
 
     return clean

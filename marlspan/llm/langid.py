@@ -2,13 +2,13 @@
 
 Every text is cut into blocks, so that a long text doesn't become its own dictionary, and each
 block of it is encoded with a raw-content dictionary of each language. The language of the smallest
-sum wins. When the fast encoder's margin is narrow, the exhaustive encoder measures again;
-a margin that stays narrow rejects the text.
+sum wins; a narrow margin rejects the text. One encoder measures all texts.
 
 Cases: a null or empty text, or one without letters that any dictionary knows, is rejected with a
-null language; equal sums are a margin of 0, so rejected; repeated rows get equal results; texts
-of any length are encoded whole; with an empty table, or no labelled row, everything is rejected.
-Other columns pass through whatever their names.
+null language; equal sums are a margin of 0, so rejected (were NARROW 0, the first language by name
+would win); repeated rows get equal results; a null doc_id is classified like others; texts of any
+length are encoded whole; with an empty table, or no labelled row, everything is rejected; with one
+labelled language all texts are its own. Other columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from marlspan.llm.words import buffers, parts
 #: The bound of the labelled sample: documents a language, and bytes of its dictionary.
 SAMPLE_DOCS, DICT_BYTES = 96, 65_536
 BLOCK = 4096
-#: Bytes gained per byte of text: under SURE the exhaustive encoder measures again; under NARROW a text is rejected.
-SURE, NARROW = 0.03, 0.004
-#: Level and least match of the two encoders.
-FAST, EXHAUSTIVE = (3, 5), (12, 3)
+#: Bytes gained per byte of text under which a text is rejected.
+NARROW = 0.004
+#: Level and least match of the encoder.
+ENCODER = (6, 4)
 SEED = 17
 RESULT = T.StructType([T.StructField("lang", T.StringType()), T.StructField("margin", T.DoubleType())])
 
@@ -45,7 +45,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DIC
     for lang, n in count.items():
         most = F.when(F.col("lang") == lang, int((1 << 30) * min(1.0, 2.0 * sample_docs / n))).otherwise(most)
     # Twice the bound is expected, so that the bound itself is met; ties of h fall by id, then text.
-    found = rows.select("lang", "doc_id", h.alias("h"), F.lower("text").alias("text")).where(F.col("h") <= most)
+    # A document gives no more than the whole dictionary: what goes to the driver is bounded.
+    found = rows.select("lang", "doc_id", h.alias("h"), F.substring(F.lower("text"), 1, dict_bytes).alias("text")).where(F.col("h") <= most)
     own_rows: dict[str, list] = {}
     for r in found.collect():
         own_rows.setdefault(r["lang"], []).append((r["h"], str(r["doc_id"]), r["text"].encode()))
@@ -69,13 +70,10 @@ def _compressors(dicts: dict[str, bytes]) -> list:
         _built.clear()
         made = []
         for lang in sorted(dicts):
-            pair = []
-            for level, least in (FAST, EXHAUSTIVE):
-                p = zstandard.ZstdCompressionParameters.from_level(level, source_size=BLOCK, dict_size=len(dicts[lang]), min_match=least, write_content_size=0, write_checksum=0, write_dict_id=0)
-                d = zstandard.ZstdCompressionDict(dicts[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                d.precompute_compress(compression_params=p)
-                pair.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p))
-            made.append((lang, *pair))
+            p = zstandard.ZstdCompressionParameters.from_level(ENCODER[0], source_size=BLOCK, dict_size=len(dicts[lang]), min_match=ENCODER[1], write_content_size=0, write_checksum=0, write_dict_id=0)
+            d = zstandard.ZstdCompressionDict(dicts[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=p)
+            made.append((lang, zstandard.ZstdCompressor(dict_data=d, compression_params=p)))
         _built[key] = made
     return _built[key]
 
@@ -88,17 +86,14 @@ def classify(text: bytes, dicts: dict[str, bytes]) -> tuple[str | None, float]:
     if len(made) == 1:
         return made[0][0], 1.0
     blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
-    for which in (1, 2):
-        sizes = [sum(len(c[which].compress(b)) for b in blocks) for c in made]
-        best = min(range(len(made)), key=sizes.__getitem__)
-        margin = (sorted(sizes)[1] - sizes[best]) / len(text)
-        if margin >= SURE:
-            break
+    sizes = [sum(len(c.compress(b)) for b in blocks) for _, c in made]
+    best = min(range(len(made)), key=sizes.__getitem__)
+    margin = (sorted(sizes)[1] - sizes[best]) / len(text)
     return (made[best][0] if margin >= NARROW else None), margin
 
 
-def identified(docs: DataFrame, dicts: dict[str, bytes]) -> DataFrame:
-    """docs with one more column, __lang: struct(lang, margin)."""
+def identified(dicts: dict[str, bytes]):
+    """struct(lang, margin) of a lower-case text column, as a function of it."""
 
     @F.arrow_udf(RESULT)
     def compressed(text: pa.Array) -> pa.Array:
@@ -109,17 +104,17 @@ def identified(docs: DataFrame, dicts: dict[str, bytes]) -> DataFrame:
             got += [classify(raw[a:b], dicts) for a, b in zip(off[:-1], off[1:])]
         return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["lang", "margin"])
 
-    return docs.withColumn("__lang", compressed(F.lower("text")))
+    return compressed(F.lower("text"))
 
 
 def language_id(docs: DataFrame, dicts: dict[str, bytes] | None = None) -> DataFrame:
     """doc_id, predicted language (null: rejected), margin in bytes gained per byte, accepted."""
     dicts = train(docs) if dicts is None else dicts
-    got = identified(docs.select("doc_id", "text"), dicts)
-    return got.select("doc_id", F.col("__lang.lang").alias("predicted"), F.round("__lang.margin", 6).alias("margin"), F.col("__lang.lang").isNotNull().alias("accepted"))
+    got = docs.select("doc_id", identified(dicts).alias("found"))
+    return got.select("doc_id", F.col("found.lang").alias("predicted"), F.round("found.margin", 6).alias("margin"), F.col("found.lang").isNotNull().alias("accepted"))
 
 
 def keep_identified(docs: DataFrame, dicts: dict[str, bytes] | None = None) -> DataFrame:
     """The rows of docs with an accepted language, their columns as they came."""
     dicts = train(docs) if dicts is None else dicts
-    return identified(docs, dicts).where(F.col("__lang.lang").isNotNull()).drop("__lang")
+    return docs.where(identified(dicts).getField("lang").isNotNull())

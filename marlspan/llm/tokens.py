@@ -308,7 +308,7 @@ def batches(arr: pa.Array) -> Iterator[tuple[str, np.ndarray]]:
         lo = hi
 
 
-def counted(docs: DataFrame, path: str, column: str = "__tokens") -> DataFrame:
+def counted(docs: DataFrame, path: str, column: str) -> DataFrame:
     """docs with the token count of text by the rank file at path, which the driver reads."""
     rank = ranks(path)
     split = splits(rank)
@@ -326,4 +326,4 @@ def counted(docs: DataFrame, path: str, column: str = "__tokens") -> DataFrame:
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and n_tokens."""
-    return counted(docs.select("doc_id", "text"), path).select("doc_id", F.col("__tokens").alias("n_tokens"))
+    return counted(docs.select("doc_id", "text"), path, "n_tokens").select("doc_id", "n_tokens")

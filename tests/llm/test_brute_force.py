@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+import zstandard
 
 from marlspan.llm import boosting, decontam, jaccard, langid, licenses, lmscore, media, mixing, pii, repeats, tokens
 from marlspan.llm.words import WORD, grams, words
@@ -221,13 +222,24 @@ def test_decontamination(spark):
     for d, t in docs:
         for k, i in items:
             n = edit_distance(decontam.normal(i), decontam.normal(t))
-            if n <= int(decontam.ERRORS * len(decontam.normal(i))):
+            if n <= int(decontam.ERRORS * len(i)):
                 want[d, k] = n
     got = {(r.doc_id, r.item_id): r.distance for r in decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert want and got == want
     assert decontam.distance("abcdef", "xxabdefxx", 3) == 1 and decontam.distance("abc", "zzz", 1) == 2
 
 
+def test_items_match_whole_words_and_parts_are_searched_alike(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "smother brothers"), (2, "The end"), (3, "by the"), (4, "a, THE; b"), (5, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the"), (2, "other"), (3, ""), (None, "the"), (4, None), (5, "by\nTHE")], "item_id long, text string")
+    want = [(2, 1, 0), (3, 1, 0), (3, 5, 0), (4, 1, 0)]
+    for chars in (8_000_000, 3):
+        monkeypatch.setattr(decontam, "PART_CHARS", chars)
+        assert sorted(tuple(r) for r in decontam.matches(docs, items).collect()) == want
+        assert sorted(r.doc_id for r in decontam.keep_clean(docs, items).collect()) == [1, 5]
+    assert not decontam.matches(docs, items.limit(0)).collect() and decontam.keep_clean(docs, items.limit(0)).count() == 5
+
+
 def test_private_data_held_out():
     model, thresholds = pii.trained()
     x, y, kinds = pii.examples(2000, 77)
@@ -308,6 +320,20 @@ def test_language_id_held_out(spark):
     right = sum(got[k] == lang for k, _, lang in rows if k >= 90)
     assert right >= 0.97 * len(got)
     assert langid.classify(b"zq " * 400, dicts)[0] is None
+    # By definition: the sizes of fresh compressors, block by block; a tie or a narrow margin is a rejection.
+    margins = {r.doc_id: (r.predicted, r.margin) for r in langid.language_id(df, dicts).collect()}
+    for k, text, _ in rows[::7] + [(0, rows[0][1], "")]:
+        raw, size = text.lower().encode(), {}
+        for lang, own in dicts.items():
+            p = zstandard.ZstdCompressionParameters.from_level(langid.ENCODER[0], source_size=langid.BLOCK, dict_size=len(own), min_match=langid.ENCODER[1], write_content_size=0, write_checksum=0, write_dict_id=0)
+            d = zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            d.precompute_compress(compression_params=p)
+            size[lang] = sum(len(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress(raw[i : i + langid.BLOCK])) for i in range(0, len(raw), langid.BLOCK))
+        first, second = sorted(size.values())[:2]
+        margin = (second - first) / len(raw)
+        assert margins[k] == (min(size, key=size.get) if margin >= langid.NARROW else None, round(margin, 6))
+    assert langid.classify(b"some text", {"aa": dicts["en"], "bb": dicts["en"]}) == (None, 0.0)
+    assert langid.train(df.limit(0)) == {} and langid.classify(b"some text", {}) == (None, 0.0) and langid.classify(b"x y", {"aa": b"z" * 300}) == ("aa", 1.0)
 
 
 def test_subset_sums_that_need_what_the_shares_would_take():

@@ -25,16 +25,25 @@ def candidate_pairs(df: DataFrame, key: str, hashes: list[str], bits: int = 16)
     return left.join(right, ["kind", "band"]).where("a < b").drop("kind", "band")
 
 
-def page_links(df: DataFrame, key: str = "page_id", profile: str = "balanced", bits: int = 16) -> DataFrame:
+def _of_distinct(df: DataFrame, key: str, hashes: list[str], linked) -> DataFrame:
+    """Links that connect what all pairs would: rows of equal hashes by a star, and pairs of different hashes by their least keys.
+
+    So a hash that very many rows have, such as that of pages without text and tags, is one row of the join.
+    """
+    own = df.where(F.col(hashes[0]).isNotNull())
+    least = own.groupBy(*hashes).agg(F.min(key).alias("least"), F.count("*").alias("n"))
+    star = own.join(least.where("n > 1").select(*hashes, "least"), hashes).select(F.col("least").alias("a"), F.col(key).alias("b")).where("a <> b")
+    return linked(candidate_pairs(least.select(F.col("least").alias(key), *hashes), key, hashes)).select("a", "b").distinct().union(star)
+
+
+def page_links(df: DataFrame, key: str = "page_id", profile: str = "balanced") -> DataFrame:
     t, t2, d, _ = PROFILES[profile]
-    pairs = candidate_pairs(df, key, ["text_hash", "dom_hash"], bits)
     text, dom = hamming("a_text_hash", "b_text_hash"), hamming("a_dom_hash", "b_dom_hash")
-    return pairs.where((text <= t) | ((text <= t2) & (dom <= d))).select("a", "b").distinct()
+    return _of_distinct(df, key, ["text_hash", "dom_hash"], lambda pairs: pairs.where((text <= t) | ((text <= t2) & (dom <= d))))
 
 
-def image_links(df: DataFrame, key: str, h: str = "image_hash", profile: str = "balanced", bits: int = 16) -> DataFrame:
-    pairs = candidate_pairs(df, key, [h], bits)
-    return pairs.where(hamming(f"a_{h}", f"b_{h}") <= PROFILES[profile][3]).select("a", "b").distinct()
+def image_links(df: DataFrame, key: str, h: str = "image_hash", profile: str = "balanced") -> DataFrame:
+    return _of_distinct(df, key, [h], lambda pairs: pairs.where(hamming(f"a_{h}", f"b_{h}") <= PROFILES[profile][3]))
 
 
 def clustered(df: DataFrame, links: DataFrame, key: str) -> DataFrame:
@@ -48,12 +57,22 @@ def quality(given: Column, ratio: Column) -> Column:
     return F.coalesce(given.try_cast("double"), ratio)
 
 
-def curated(pages: DataFrame, key: str = "page_id", k: int = 1, profile: str = "balanced", top_n: int = -1) -> DataFrame:
-    """The k best pages of each cluster, by quality, tags and key; then the best top_n of all (all if negative)."""
-    from marlspan.functions.hashes import page_simhash
+def curated(pages: DataFrame, key: str = "page_id", k: int = 1, profile: str = "balanced", top_n: int = -1, given: str | None = None, image: str | None = None, missing: str = "keep") -> DataFrame:
+    """The k best pages of each cluster, by quality, tags and key; then the best top_n of all (all if negative).
 
-    scored = cut(pages.select(key, page_simhash("html").alias("h"), value_density("html").alias("d")).select(key, "h.*", "d.*"))
-    found = clustered(scored, page_links(scored, key, profile), key)
-    order = (F.desc("ratio"), F.desc("total_tags"), F.asc(key))
+    given names a column that goes before the density where it is a number; image names one of image hashes, by
+    which pages are linked too; a page without one is kept, dropped or an error, as missing says.
+    """
+    from marlspan.functions.hashes import page_simhash
+    from marlspan.operators.images import missing_image_policy
+
+    if image:
+        pages = missing_image_policy(pages, F.col(image).isNull(), missing)
+    beside = [F.col(c).alias(n) for c, n in ((given, "given"), (image, "image_hash")) if c]
+    scored = pages.select(key, page_simhash("html").alias("h"), value_density("html").alias("d"), *beside).select(key, "h.*", "d.*", *[n for c, n in ((given, "given"), (image, "image_hash")) if c])
+    scored = cut(scored.withColumn("quality", quality(F.col("given"), F.col("ratio")) if given else F.col("ratio")))
+    links = page_links(scored, key, profile)
+    found = clustered(scored, links.union(image_links(scored, key, profile=profile)) if image else links, key)
+    order = (F.desc("quality"), F.desc("total_tags"), F.asc(key))
     best = top_of_each(found, "cluster", k, *order)
     return best.orderBy(*order) if top_n < 0 else best.orderBy(*order).limit(top_n)

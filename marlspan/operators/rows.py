@@ -59,11 +59,16 @@ def rejects(df: DataFrame, reason: str = "reason") -> tuple[DataFrame, DataFrame
     return df.where(F.col(reason).isNull()).drop(reason), df.where(F.col(reason).isNotNull()).select(reason, F.struct(*others).alias("entry"))
 
 
-def skip_report(df: DataFrame, reason: str = "reason", entry: Column | None = None) -> DataFrame:
-    """total_skipped, skip_reasons and skipped_entries in one row; no row when nothing was skipped."""
-    own = df.where(F.col(reason).isNotNull()).select(F.col(reason).alias("reason"), (entry if entry is not None else F.struct(F.col(reason).alias("reason"))).alias("entry"))
-    by = own.groupBy("reason").agg(F.count("*").alias("n"), F.collect_list("entry").alias("entries"))
-    return by.agg(F.sum("n").alias("total_skipped"), F.map_from_entries(F.collect_list(F.struct("reason", "n"))).alias("skip_reasons"), F.flatten(F.collect_list("entries")).alias("skipped_entries")).where("total_skipped > 0")
+def skipped_entries(df: DataFrame, entry: Column | None = None, reason: str = "reason") -> DataFrame:
+    """reason and entry of each skipped row; the report's list, a row an entry, however many there are."""
+    own = F.struct(*[F.col(c) for c in df.columns if c != reason]) if entry is None else entry
+    return df.where(F.col(reason).isNotNull()).select(F.col(reason).alias("reason"), own.alias("entry"))
+
+
+def skip_report(df: DataFrame, reason: str = "reason") -> DataFrame:
+    """total_skipped and skip_reasons in one row, counted before the shuffle; no row when nothing was skipped."""
+    by = df.where(F.col(reason).isNotNull()).groupBy(F.col(reason).alias("reason")).agg(F.count("*").alias("n"))
+    return by.agg(F.sum("n").alias("total_skipped"), F.map_from_entries(F.collect_list(F.struct("reason", "n"))).alias("skip_reasons")).where("total_skipped > 0")
 
 
 def counted(df: DataFrame, key: str) -> DataFrame:

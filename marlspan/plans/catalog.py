@@ -212,7 +212,7 @@ def first_failing_reason(spark, sf_dir):
 
 @query(f"SELECT reason, count(*) AS n FROM (SELECT {_REASON} AS reason FROM documents) WHERE reason IS NOT NULL GROUP BY 1")
 def skip_counts(spark, sf_dir):
-    report = rows.skip_report(_reasons(table(spark, sf_dir, "documents")), entry=F.col("doc_id"))
+    report = rows.skip_report(_reasons(table(spark, sf_dir, "documents")))
     return report.select(F.explode("skip_reasons").alias("reason", "n"))
 
 
@@ -367,3 +367,7 @@ def page_rows(spark, sf_dir):
     rules = [("invalid_html", code_text.valid_html(F.col("html"))), ("empty_text", code_text.filled(F.col("html")))]
     kept = rows.numbered(table(spark, sf_dir, "pages").withColumn("reason", rows.first_failing(rules)).where("reason IS NULL"), F.col("page_id"))
     return rows.sharded(kept, "web").select("page_id", "idx", "id", "shard", "member", messages.conversation("Write this page.", F.col("html")).alias("conversations"))
+
+
+# These register further queries here.
+from marlspan.plans import round_trips as _round_trips  # noqa: E402, F401

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,10 +18,12 @@ BROADCAST_BYTES = 64_000_000
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the session names in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests, local mode) a temporary folder is used.
+    Only where the setting is absent, in local mode, a temporary folder is used; a cluster must name one that all share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="marlspan-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

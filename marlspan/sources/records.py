@@ -70,6 +70,42 @@ def export_array(df: DataFrame, path: str, compact: bool = False) -> int:
     return n
 
 
+def _batches(spark: SparkSession, path: str) -> int:
+    """How many batches of an array there are."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(s.getPath().getName().startswith("1-batch-") for s in fs.listStatus(p)) if fs.exists(p) else 0
+
+
+def append_array(df: DataFrame, path: str, *order: Column) -> None:
+    """Rows for an array, written by the tasks after those that are there: a run that goes on writes what it has more.
+
+    The files below path, in the order of their names, are one JSON array together (cat path/*/part-*).
+    """
+    spark = df.sparkSession
+    n = _batches(spark, path)
+    if not n:
+        for name, mark in (("0-open", "["), ("2-close", "]")):
+            spark.createDataFrame([(mark,)], "value string").coalesce(1).write.text(f"{path}/{name}")
+    begun = any(not spark.read.text(f"{path}/1-batch-{k:05d}").isEmpty() for k in range(n))
+    own = with_position(df.select(F.struct(*df.columns).alias("row"), *[c.alias(f"o{i}") for i, c in enumerate(order)]), *[F.col(f"o{i}") for i in range(len(order))])
+    line = F.concat(F.when((F.col("pos") == 0) & F.lit(not begun), " ").otherwise(","), F.to_json("row", {"ignoreNullFields": "false"}))
+    own.repartitionByRange("pos").sortWithinPartitions("pos").select(line.alias("value")).write.text(f"{path}/1-batch-{n:05d}")
+
+
+def write_array(df: DataFrame, path: str, *order: Column) -> None:
+    """A JSON array of the rows in order, written by the tasks; see append_array."""
+    if _batches(df.sparkSession, path):
+        raise ValueError(f"{path} has an array already")
+    append_array(df, path, *order)
+
+
+def read_array_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of such an array, read by as many tasks as its size asks for."""
+    lines = spark.read.text(f"{path}/1-batch-*").select(F.from_json(F.substring("value", 2, 2_147_483_647), schema).alias("row"))
+    return lines.select("row.*")
+
+
 def zip_members(paths: DataFrame, archive: str, member: str = "member") -> DataFrame:
     """paths with data: the bytes of each named member, null where it is missing or the archive can't be read.
 

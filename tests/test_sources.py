@@ -2,8 +2,13 @@
 
 import io
 import json
+import os
+import shutil
+import subprocess
+import sys
 import tarfile
 import zipfile
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,7 +18,7 @@ from pyspark.sql import types as T
 from marlspan.functions import png
 from marlspan.functions.messages import CHAT, first_response, with_prompt
 from marlspan.functions.token_counters import token_count
-from marlspan.operators import images, ingest, near_pages, rewrites, rows
+from marlspan.operators import images, ingest, near_pages, profile, rewrites, rows
 from marlspan.operators.components import connected_components
 from marlspan.sources import records, tars
 from marlspan.streaming import ingest as streams
@@ -166,7 +171,25 @@ def test_near_pages_against_all_pairs(spark):
     band = lambda x: {(i, (x >> 16 * i) & 65535) for i in range(4)}
     want = {(a, b) for a in h for b in h if a < b and (band(h[a][0]) & band(h[b][0]) or band(h[a][1]) & band(h[b][1])) and (d(h[a][0], h[b][0]) <= 3 or (d(h[a][0], h[b][0]) <= 6 and d(h[a][1], h[b][1]) <= 6))}
     df = spark.createDataFrame([(k, a, b) for k, (a, b) in h.items()], "page_id long, text_hash long, dom_hash long")
-    assert {tuple(r) for r in near_pages.page_links(df).collect()} == want
+    got = {tuple(r) for r in near_pages.page_links(df).collect()}
+
+    def components(edges):
+        root = {k: k for k in h}
+        for _ in h:
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert got <= want and components(got) == components(want) and len(set(components(want).values())) > 2
+    # A quality of its own goes before the density, images link too, and pages without one are treated as asked.
+    rows_ = [(k, x, "9" if k == 5 else None, None if k == 21 else 0 if k in (1, 20) else 2**k) for k, x in docs]
+    pages = spark.createDataFrame(rows_, "page_id long, html string, q string, image long")
+    clusters = lambda **o: {r.page_id: r.cluster for r in near_pages.curated(pages, k=99, **o).collect()}
+    assert clusters() == components(want)
+    linked = clusters(image="image", missing="drop")
+    assert 21 not in linked and linked[20] == linked[1] and set(clusters(image="image")) == set(h)
+    best = {r.cluster: r.page_id for r in near_pages.curated(pages, given="q").collect()}
+    assert best[components(want)[5]] == 5
     kept = near_pages.curated(spark.createDataFrame(docs, "page_id long, html string"), k=1).collect()
     assert len({r.cluster for r in kept}) == len(kept)
     assert near_pages.curated(spark.createDataFrame(docs, "page_id long, html string"), top_n=0).collect() == []
@@ -177,7 +200,7 @@ def test_rewrites_report_reasons(spark):
     got = {r.id: (r.processed, r.reason) for r in rewrites.rewrite(df, "html", "max_compression").collect()}
     assert got == {1: (True, None), 2: (False, "no_gpt_response"), 3: (False, "no_html_content"), 4: (False, "no_style_tags"), 5: (False, "no_gpt_response")}
     assert rewrites.rewrite(df, "html", "class_names").where("id = 3").first().html == "text"
-    report = rows.skip_report(rewrites.rewrite(df, "html", "max_compression"), entry=F.struct("id", "reason")).first()
+    report = rows.skip_report(rewrites.rewrite(df, "html", "max_compression")).first()
     assert report.total_skipped == 4 and report.skip_reasons["no_gpt_response"] == 2
     kept, lost = rows.rejects(rewrites.rewrite(df, "html", "max_compression"))
     assert kept.count() == 1 and lost.count() == 4
@@ -219,8 +242,52 @@ def test_routing_is_seeded(spark):
     assert a == b and 1000 < len(a) < 1400
 
 
-def test_the_rest_works_without_the_subpackage(spark):
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    """On a copy without the subpackage, its tests and the pipeline: all other queries are there, and their modules import."""
+    here = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(here, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    code = (
+        "import importlib, pkgutil, marlspan, __spark_entry__ as e\n"
+        "for m in pkgutil.walk_packages(marlspan.__path__, 'marlspan.'):\n    m.name.endswith('__main__') or importlib.import_module(m.name)\n"
+        "assert 'pipeline' not in e.queries() and not any(n.startswith('op') and n[2].isdigit() for n in e.queries())\n"
+        "assert set(e.oracle_sql()) <= set(e.queries()) and len(e.queries()) > 100\nprint('fine')"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True)
+    assert got.stdout.endswith("fine\n"), got.stderr
+
+
+def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
-    assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_summary_equals_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    rows_ = [(None if k % 9 == 0 else float(rng.integers(0, 6)), float(rng.normal()), None, 5.0) for k in range(700)]
+    df = spark.createDataFrame(rows_, "a double, b double, c double, d double").repartition(5)
+    got = {r.field: r for r in profile.summary(df, "a", "b", "c", "d").collect()}
+    for i, c in enumerate("abd"):
+        v = np.array([r["abcd".index(c)] for r in rows_ if r["abcd".index(c)] is not None])
+        r = got[c]
+        assert (r["count"], r["min"], r["max"]) == (len(v), v.min(), v.max())
+        assert np.allclose([r["mean"], r["std"], r["median"]], [v.mean(), v.std(), np.median(v)])
+        assert np.allclose([r[f"p{p}"] for p in profile.PERCENTILES], np.percentile(v, profile.PERCENTILES))
+    assert got["c"]["count"] == 0 and got["c"]["p50"] is None
+    assert profile.summary(df.limit(0), "a").first()["count"] == 0
+
+
+def test_arrays_go_on_after_an_empty_beginning(spark, tmp_path):
+    df = spark.range(7).select(F.col("id").alias("k"), F.concat(F.lit('a"b '), F.col("id").cast("string")).alias("t"))
+    at = f"file://{tmp_path}/a"
+    records.write_array(df.where("k > 99"), at, F.col("k"))
+    for cut in (df.where("k < 3"), df.where("k > 99"), df.where("k >= 3").repartition(3)):
+        records.append_array(cut, at, F.col("k"))
+    text = "".join(p.read_text() for p in sorted(tmp_path.glob("a/*/part-*")))
+    assert json.loads(text) == [{"k": k, "t": f'a"b {k}'} for k in range(7)]
+    with pytest.raises(ValueError):
+        records.write_array(df, at, F.col("k"))

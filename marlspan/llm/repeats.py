@@ -15,6 +15,10 @@ repeat is an interval of them, and its occurrences are where they start. occurre
    stack scan over the longest common prefixes yields the interval tree; intervals with one left
    extension only are dropped.
 
+An anchor of more than HOT occurrences isn't one task's: what begins before it is put in order by a range
+sort over all tasks, each of which finds the intervals within it; those that span several are found from
+the few places where an interval can end (see below). So no task holds all occurrences of a passage.
+
 Nothing is sampled or capped. Shuffled are one anchor in about 18 words, and repeated passages as
 compressed text: words are compared by 64-bit hashes, those of all the words of a passage.
 
@@ -126,19 +130,10 @@ def _anchored(min_words: int):
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one task's anchors those that repeat, and whether what precedes them differs."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    h, doc, pos, sig = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in ("h", "doc_id", "pos", "sig"))
-    by = np.argsort(h, kind="stable")
-    h, doc, pos, sig = h[by], doc[by], pos[by], sig[by]
-    start = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-    n = np.diff(np.r_[start, len(h)])
-    diverse = np.minimum.reduceat(sig, start) != np.maximum.reduceat(sig, start)
-    keep = np.repeat(n > 1, n)
-    yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array((pos * 2 + np.repeat(diverse, n))[keep].astype(np.int32))], names=["doc_id", "at"])
+#: Bits beside an anchor's place: what precedes its occurrences differs; it is in more than HOT places.
+DIVERSE, OFTEN = 1, 2
+#: Occurrences from which an anchor's suffixes are ordered by several tasks.
+HOT = 20_000
 
 
 def _plain(w: Words) -> tuple[bytes, np.ndarray]:
@@ -170,6 +165,24 @@ def _received(b: pa.RecordBatch) -> Iterator[tuple[int, "Row"]]:
             yield h, Row(doc, pos, tuple(masks), period, back[end - a - UNIT * n : end - a], raw[a + UNIT * n : z])
 
 
+def starts_of(a: int, g: np.ndarray, lo: int, hi: int, width: int, min_words: int) -> Iterator[int]:
+    """How far before anchor a the starts lie whose first anchor it is."""
+    for d in range(min(width, a - lo + 1)):
+        if d and g[a - d] <= g[a]:
+            break  # an earlier k-gram is the least of this and longer windows
+        window = g[a : min(hi, a - d + width)]
+        if hi - (a - d) >= min_words and window.min() == g[a]:
+            yield d
+
+
+def _chains(at: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row's anchors in order, their words, and the last ones of chains: repetition ends there, but for what no anchor witnesses."""
+    at = np.sort(at)
+    pos = at >> 2
+    at, pos = at[pos < n], pos[pos < n]
+    return at, pos, np.r_[np.flatnonzero(np.diff(pos) > width), len(pos) - 1]
+
+
 def _suffixes(min_words: int):
     k, width = _sizes(min_words)
 
@@ -184,22 +197,9 @@ def _suffixes(min_words: int):
             lists = b.column("at")
             for r in range(b.num_rows):
                 lo, hi = int(w.first[r]), int(w.first[r + 1])
-                at = np.sort(lists[r].values.to_numpy())
-                pos = at >> 1
-                at, pos = at[pos < hi - lo], pos[pos < hi - lo]
-                # Where repetition may end: the last of the chain plus all that no anchor witnesses.
-                end = np.r_[np.flatnonzero(np.diff(pos) > width), len(pos) - 1]
-                for own, period in runs(w, g, lo + pos[(at & 1) == 1]):
-                    masks = []
-                    for a in own.tolist():
-                        mask = 0
-                        for d in range(min(width, a - lo + 1)):
-                            if d and g[a - d] <= g[a]:
-                                break  # an earlier k-gram is the least of this and longer windows
-                            window = g[a : min(hi, a - d + width)]
-                            if hi - (a - d) >= min_words and window.min() == g[a]:
-                                mask |= 1 << d
-                        masks.append(mask)
+                at, pos, end = _chains(lists[r].values.to_numpy(), hi - lo, width)
+                for own, period in runs(w, g, lo + pos[(at & 3) == DIVERSE]):
+                    masks = [sum(1 << d for d in starts_of(a, g, lo, hi, width, min_words)) for a in own.tolist()]
                     a = int(own[0])
                     p = a - lo
                     if any(masks):
@@ -441,6 +441,199 @@ def _grouped(min_words: int):
     return run
 
 
+# Anchors of very many occurrences. Each start before them is a suffix of its own; those of one start (one
+# anchor, distance and words between) are put in order by a range sort, so that they may lie in several tasks.
+# Each task finds the intervals that end within it, and reduces its suffixes to segments, whose borders are the
+# places where the common prefix is the shortest seen from its first or from its last suffix: only there can an
+# interval end that goes on in another task. The segments of all tasks are few; a second scan finds the others.
+
+
+def _hot_starts(min_words: int):
+    """(g, before, doc_id, at) of each start before a hot anchor. g names the start's words, before is the word before it."""
+    _, width = _sizes(min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            w = words(b.column("text"))
+            grams, _ = anchors(w, min_words)
+            ids = b.column("doc_id").to_pylist()
+            rows = []
+            for r, at in enumerate(b.column("at").to_pylist()):
+                lo, hi = int(w.first[r]), int(w.first[r + 1])
+                for pos in sorted(x >> 2 for x in at if x & 3 == DIVERSE | OFTEN):
+                    a = lo + pos
+                    for d in starts_of(a, grams, lo, hi, width, min_words) if a < hi else ():
+                        name = hashlib.blake2b(w.hash[a - d : a].tobytes(), digest_size=8, key=int(grams[a]).to_bytes(8)).digest()
+                        rows.append((int.from_bytes(name, signed=True), int(w.hash[a - d - 1].view(np.int64)) if a - d > lo else None, ids[r], pos * 64 + d))
+            g, before, doc, at = zip(*rows) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(before, pa.int64()), pa.array(doc, pa.int64()), pa.array(at, pa.int64())], names=["g", "before", "doc_id", "at"])
+
+    return run
+
+
+def _hot_suffixes(min_words: int):
+    """(g, d, before, doc_id, start, body) of the starts that are given; body: the words from the anchor on, a space after each."""
+    k, width = _sizes(min_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)], names=["g", "d", "before", "doc_id", "start", "body"])
+
+        for b in slices(batches):
+            w = words(b.column("text"))
+            plain, place = _plain(w)
+            rows, held = [], 0
+            for r, (doc, at, given) in enumerate(zip(*(b.column(c).to_pylist() for c in ("doc_id", "at", "starts")))):
+                lo, hi = int(w.first[r]), int(w.first[r + 1])
+                _, pos, end = _chains(np.array(at, dtype=np.int64), hi - lo, width)
+                for x in given:
+                    a, d = x["at"] >> 6, x["at"] & 63
+                    if a >= hi - lo:
+                        continue
+                    stop = min(hi, lo + int(pos[end[np.searchsorted(end, np.searchsorted(pos, a))]]) + width + k)
+                    rows.append((x["g"], d, x["before"], doc, a - d, plain[place[lo + a] : place[stop]].decode("utf-8", "surrogatepass")))
+                    held += len(rows[-1][5])
+                    if held > 16_000_000:
+                        yield out(rows)
+                        rows, held = [], 0
+            if rows:
+                yield out(rows)
+
+    return run
+
+
+def _alike(x: bytes, y: bytes) -> int:
+    """Words that begin both bodies."""
+    n = min(len(x), len(y))
+    differ = np.frombuffer(x, dtype=np.uint8, count=n) != np.frombuffer(y, dtype=np.uint8, count=n)
+    i = int(differ.argmax()) if n else 0
+    return x.count(b" ", 0, i if n and differ[i] else n)
+
+
+_SEGMENT = "segment boolean, head string, tail string, d int, n_rows bigint, last bigint, before bigint, diverse boolean, above int"
+_HOT = f"group_id bigint, place bigint, doc_id bigint, start int, period int, reach int, repeats array<struct<last: bigint, n_words: int, n_occurrences: int, period: int, fewer: int>>, {_SEGMENT}"
+_HOT_ARROW = pa.schema(
+    [("group_id", pa.int64()), ("place", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("period", pa.int32()), ("reach", pa.int32()), ("repeats", pa.list_(pa.struct(_REPEAT)))]
+    + [("segment", pa.bool_()), ("head", pa.string()), ("tail", pa.string()), ("d", pa.int32()), ("n_rows", pa.int64()), ("last", pa.int64()), ("before", pa.int64()), ("diverse", pa.bool_()), ("above", pa.int32())]
+)
+
+
+def _repeat(last: int, n_words: int, count: int) -> dict:
+    return {"last": last, "n_words": n_words, "n_occurrences": count, "period": 0, "fewer": 0}
+
+
+def _ordered(min_words: int):
+    """Of suffixes in order, those of one g together: those that are in a repeat, with the repeats that lie within this task,
+    and the segments of the g that may go on in another."""
+
+    def closed(g: int, own: list[tuple], lcp: list[int], base: int, edge: bool, ends: tuple[str, str]) -> Iterator[dict]:
+        d = own[0][0]
+        left = [x[1] for x in own]
+        opens: dict[int, list[dict]] = {}
+        for a, b, n in intervals(lcp, left, min_words - d):
+            if not edge or (a > 0 and b < len(own) - 1):
+                opens.setdefault(a, []).append(_repeat(base + b, n + d, b - a + 1))
+        least = min_words - d
+        for i, (_, _, doc, start) in enumerate(own):
+            if edge and i in (0, len(own) - 1) or max(lcp[i], lcp[i + 1] if i + 1 < len(own) else 0) >= least:
+                yield {"group_id": g, "place": base + i, "doc_id": doc, "start": start, "period": 0, "reach": 0, "repeats": opens.get(i, []), "segment": False}
+        if not edge:
+            return
+        cuts, low = {0}, None
+        for i in range(1, len(own)):
+            if low is None or lcp[i] < low:
+                cuts.add(i)
+                low = lcp[i]
+        low = None
+        for i in range(len(own) - 1, 0, -1):
+            if low is None or lcp[i] < low:
+                cuts.add(i)
+                low = lcp[i]
+        cut_ = sorted(cuts) + [len(own)]
+        for a, b in zip(cut_, cut_[1:]):
+            same = left[a] is not None and all(x == left[a] for x in left[a:b])
+            yield {
+                "group_id": g, "place": base + a, "doc_id": own[a][2], "start": own[a][3], "period": 0, "reach": 0, "repeats": [], "segment": True, "d": d, "n_rows": b - a, "last": base + b - 1,
+                "before": left[a] if same else None, "diverse": not same, "above": lcp[a] if a else None, "head": None if a else ends[0], "tail": ends[1] if b == len(own) else None,
+            }
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        base = TaskContext.get().partitionId() << 40
+        g_now, own, lcp, head, last, first = None, [], [], None, None, True
+        out: list[dict] = []
+        for b in batches:
+            for g, d, before, doc, start, body in zip(*(b.column(c).to_pylist() for c in ("g", "d", "before", "doc_id", "start", "body"))):
+                if g != g_now:
+                    if own:
+                        out += closed(g_now, own, lcp, base, first, (head, last))
+                        base += len(own)
+                        first = False
+                        if len(out) > 50_000:
+                            yield pa.RecordBatch.from_pylist(out, _HOT_ARROW)
+                            out = []
+                    g_now, own, lcp, head, last = g, [], [], body, None
+                elif own and own[-1][2:] == (doc, start):
+                    continue  # a repeated row
+                lcp.append(_alike(last.encode(), body.encode()) if own else 0)
+                own.append((d, before, doc, start))
+                last = body
+        if own:
+            out += closed(g_now, own, lcp, base, True, (head, last))
+        if out:
+            yield pa.RecordBatch.from_pylist(out, _HOT_ARROW)
+
+    return run
+
+
+def _joined(min_words: int):
+    """The repeats of several segments of one g; each stands in a row of its first suffix."""
+
+    def found(own: list[dict]) -> Iterator[dict]:
+        lcp = [0]
+        for x, y in zip(own, own[1:]):
+            lcp.append(y["above"] if y["above"] is not None else _alike(x["tail"].encode(), y["head"].encode()))
+        d, total = own[0]["d"], np.cumsum([0] + [x["n_rows"] for x in own]).tolist()
+        left = [None if x["diverse"] else x["before"] for x in own]
+        opens: dict[int, list[dict]] = {}
+        for a, b, n in intervals(lcp, left, min_words - d):
+            opens.setdefault(a, []).append(_repeat(own[b]["last"], n + d, total[b + 1] - total[a]))
+        for a, repeats in opens.items():
+            yield {k: own[a][k] for k in ("group_id", "place", "doc_id", "start", "period", "reach")} | {"repeats": repeats, "segment": False}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[dict] = []
+        for b in batches:
+            out: list[dict] = []
+            for x in b.to_pylist():
+                if own and own[0]["group_id"] != x["group_id"]:
+                    out += found(own)
+                    own = []
+                own.append(x)
+            yield pa.RecordBatch.from_pylist(out, _HOT_ARROW)
+        yield pa.RecordBatch.from_pylist(list(found(own)) if own else [], _HOT_ARROW)
+
+    return run
+
+
+def _hot_repeats(own: DataFrame, min_words: int) -> DataFrame:
+    """The rows of maximal_repeats for hot anchors; own: doc_id, text, at."""
+    parts = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = own.where(F.exists("at", lambda x: x.bitwiseAND(3) == DIVERSE | OFTEN))
+    starts = cut(own.mapInArrow(_hot_starts(min_words), "g bigint, before bigint, doc_id bigint, at bigint"))
+    # Starts that occur once, or always after the same word, begin no repeat.
+    differ = (F.count("before") < F.count("*")) | (F.min("before") != F.max("before"))
+    kept = cut(starts.groupBy("g").agg(F.count("*").alias("n"), differ.alias("differ")).where("n > 1 AND differ").select("g"))
+    given = cut(sized_join(starts, kept, "g", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("at", "g", "before")).alias("starts")))
+    bodies = sized_join(own, given, "doc_id", "inner").select("doc_id", "text", "at", "starts").mapInArrow(_hot_suffixes(min_words), "g bigint, d int, before bigint, doc_id bigint, start int, body string")
+    order = ("g", "body", "doc_id", "start")
+    scanned = cut(bodies.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_ordered(min_words), _HOT))
+    segments = scanned.where("segment").repartition(parts, "group_id").sortWithinPartitions("group_id", "place")
+    return scanned.where("NOT segment").union(segments.mapInArrow(_joined(min_words), _HOT)).drop("segment", *[c.split()[0] for c in _SEGMENT.split(", ")[1:]])
+
+
 def occurrences(found: DataFrame) -> DataFrame:
     """Of maximal_repeats' rows every occurrence of every repeat: group_id, first (the repeat's place), whole_words
     (of the row that it is of), n_words, doc_id, start. Their number may grow with the square of the rows."""
@@ -451,13 +644,18 @@ def occurrences(found: DataFrame) -> DataFrame:
     return less.select("group_id", "first", F.col("n_words").alias("whole_words"), F.expr("n_words - t * step").alias("n_words"), "doc_id", F.expr("start + j * period + u * step").alias("start")).distinct()
 
 
-def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS, hot: int = HOT) -> DataFrame:
     """Groups of suffixes in order, and the intervals of them that are repeats: group_id, place (in the order), doc_id, start
     (the suffix's first word, from 0), period and reach, repeats (those whose interval begins here, to its last place)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
-    every = text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint").repartition(parts, "h")
-    places = cut(every.mapInArrow(_repeated, "doc_id bigint, at int").groupBy("doc_id").agg(F.collect_set("at").alias("at")))
+    every = cut(text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint"))
+    often = F.when(F.col("n") > hot, OFTEN).otherwise(0)
+    flags = cut(every.groupBy("h").agg(F.count("*").alias("n"), (F.min("sig") != F.max("sig")).cast("int").alias("diverse")).where("n > 1").select("h", (F.col("diverse") + often).alias("flag")))
+    places = cut(sized_join(every, flags, "h", "inner").groupBy("doc_id").agg(F.collect_set(F.col("pos") * 4 + F.col("flag")).alias("at")))
     own = sized_join(text, places, "doc_id", "inner").select("doc_id", "text", "at")
     suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, n_left int, body binary")
-    return suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), _RESULT)
+    found = suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), _RESULT)
+    if flags.where(F.col("flag") == DIVERSE | OFTEN).isEmpty():
+        return found
+    return found.union(_hot_repeats(own, min_words))

@@ -46,9 +46,9 @@ def test_words_match_the_regular_expression():
     assert len(h) == 4 and h[0] == h[3] and len(set(h.tolist())) == 3
 
 
-def found_repeats(spark, docs: list, least: int) -> list[tuple]:
+def found_repeats(spark, docs: list, least: int, hot: int = repeats.HOT) -> list[tuple]:
     """(occurrences, words) of all repeats."""
-    found = repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), least).cache()
+    found = repeats.maximal_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), least, hot).cache()
     own = collections.defaultdict(list)
     for r in repeats.occurrences(found).collect():
         own[r.group_id, r.first, r.whole_words, r.n_words].append((r.doc_id, r.start))
@@ -57,6 +57,30 @@ def found_repeats(spark, docs: list, least: int) -> list[tuple]:
     return [(tuple(sorted(x)), k[3]) for k, x in own.items()]
 
 
+@pytest.mark.parametrize("hot,seed", [(1, 3), (6, 5), (2, 11)])
+def test_repeats_of_hot_anchors_span_tasks(spark, hot, seed):
+    """With few occurrences counting as many, the suffixes of a start lie in several tasks."""
+    docs = passages_in_noise(60, seed)
+    docs += [(100 + k, docs[k % 3][1]) for k in range(9)] + [(100, docs[1][1])]
+    w = {d: t.split() for d, t in docs}
+    docs[-1] = (100, docs[60][1])  # a repeated row
+    w[100] = docs[60][1].split()
+    got = found_repeats(spark, docs, 10, hot)
+    assert set(got) == brute_repeats(w, 10) and len(got) == len(set(got))
+
+
+def test_one_hot_passage_is_ordered_by_all_tasks(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(12)]
+    w = {k: [rng.choice("abc") for _ in range(rng.randint(0, 3))] + passage + [rng.choice("xy") for _ in range(rng.randint(0, 9))] + [f"u{k}"] * (k % 3 > 0) for k in range(150)}
+    assert set(found_repeats(spark, [(k, " ".join(x)) for k, x in w.items()], 10, 5)) == brute_repeats(w, 10)
+    # Of the passage's start some repeats lie within a task, and some span several.
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in w.items()], "doc_id long, text string").repartition(3)
+    rows = repeats.maximal_repeats(docs, 10, 5).collect()
+    spans = collections.Counter(x.last >> 40 != r.place >> 40 for r in rows for x in r.repeats if r.place >> 40 or x.last >> 40)
+    assert spans[True] > 3 and spans[False] > 3
+
+
 def test_words_that_are_alike_in_24_bits_stay_apart(spark):
     words_of = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
     docs = [(1, f"{words_of('p', 60)} q1110 {words_of('z', 60)}"), (2, f"{words_of('p', 60)} q3631 {words_of('z', 60)}")]

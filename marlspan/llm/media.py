@@ -6,9 +6,10 @@ and cut into tiles of TILE x TILE, each of which becomes the bytes of an NPY fil
 64-bit difference hash compares neighbours of a 9 x 8 area resize of the luma, row by row, most
 significant bit first; an image has one, and each tile has its own.
 
-Cases: a null payload gives one row with error "null"; an empty, truncated, oversized or unknown one
+Cases: a null payload gives one row with error "null"; an empty, truncated or unknown one
 a row that names its error, with null arrays; nothing raises. Images of any size are resized from all
-their samples; equal neighbours give a bit of 0; repeated rows give repeated results; an empty table
+their samples, large ones in bands of rows (an image whose bytes can't hold the size that it announces is
+"truncated"); equal neighbours give a bit of 0; repeated rows give repeated results; an empty table
 gives none. Only the id and the payload are read, whatever other columns there are.
 """
 
@@ -24,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIDE, TILE = 32, 16
-#: Samples that a header may announce.
-MOST_SAMPLES = 1 << 28
+#: Samples from which an image is summed in bands of rows, of which the integral image keeps those that are asked for.
+BAND = 1 << 22
 
 
 class BadImage(ValueError):
@@ -52,11 +53,12 @@ def _header(raw: bytes, n: int, at: int = 2) -> tuple[list[int], int]:
     return out, at + 1
 
 
-def _checked(w: int, h: int, depth: int) -> None:
+def _checked(w: int, h: int, depth: int, most: int) -> None:
+    """most: samples that the payload's bytes can hold."""
     if w < 1 or h < 1 or depth < 1:
         raise BadImage("size")
-    if w * h * depth > MOST_SAMPLES:
-        raise BadImage("too large")
+    if w * h * depth > most:
+        raise BadImage("truncated")
 
 
 def _scaled(samples: np.ndarray, most: int) -> np.ndarray:
@@ -91,13 +93,13 @@ def decode_netpbm(raw: bytes) -> np.ndarray:
             w, h, depth, most = (fields[k] for k in (b"WIDTH", b"HEIGHT", b"DEPTH", b"MAXVAL"))
         except KeyError:
             raise BadImage("header") from None
-        _checked(w, h, depth)
+        _checked(w, h, depth, len(raw))
         out = _binary(raw, at, w, h, depth, most)
         # Of alpha channels nothing is kept.
         return out[:, :, :1] if depth < 3 else out[:, :, :3]
     if kind in b"14":
         (w, h), at = _header(raw, 2)
-        _checked(w, h, 1)
+        _checked(w, h, 1, 8 * len(raw))
         if kind == b"4":
             row = -(-w // 8)
             if len(raw) - at < row * h:
@@ -112,7 +114,7 @@ def decode_netpbm(raw: bytes) -> np.ndarray:
         return ((1 - bits) * 255).astype(np.uint8)[:, :, None]
     depth = 3 if kind in b"36" else 1
     (w, h, most), at = _header(raw, 3)
-    _checked(w, h, depth)
+    _checked(w, h, depth, len(raw))
     if kind in b"56":
         return _binary(raw, at, w, h, depth, most)
     words = raw[at:].split(None, w * h * depth)[: w * h * depth]
@@ -170,7 +172,8 @@ def decode_bmp(raw: bytes) -> np.ndarray:
     else:
         raise BadImage("header")
     down, h = h < 0, abs(h)
-    _checked(w, h, 3)
+    # A byte holds 8 pixels at most, two bytes a run of 255.
+    _checked(w, h, 1, (255 if method in (1, 2) else 8) * len(raw))
     if bits not in (1, 4, 8, 16, 24, 32) or method not in (0, 1, 2, 3, 6) or (method == 1 and bits != 8) or (method == 2 and bits != 4):
         raise BadImage("unsupported")
     if bits <= 8:
@@ -231,9 +234,18 @@ def _cuts(n: int, to: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 def area_resize(image: np.ndarray, h: int, w: int) -> np.ndarray:
     """Each output sample is the mean of the input under it, from differences of the integral image (float64)."""
-    total = np.zeros((image.shape[0] + 1, image.shape[1] + 1, image.shape[2]))
-    total[1:, 1:] = image.cumsum(0, dtype=np.float64).cumsum(1)
     low, high, part, _ = _cuts(image.shape[0], h)
+    if image.size < BAND:
+        total = np.zeros((image.shape[0] + 1, image.shape[1] + 1, image.shape[2]))
+        total[1:, 1:] = image.cumsum(0, dtype=np.float64).cumsum(1)
+    else:
+        # Of a large image only the rows between which output rows lie are kept.
+        at = np.unique(np.r_[low, high])
+        total = np.zeros((len(at), image.shape[1] + 1, image.shape[2]))
+        for k in range(1, len(at)):
+            total[k, 1:] = total[k - 1, 1:] + image[at[k - 1] : at[k]].sum(0, dtype=np.float64)
+        total.cumsum(1, out=total)
+        low, high = np.searchsorted(at, low), np.searchsorted(at, high)
     rows = total[low] + (total[high] - total[low]) * part[:, None, None]
     low, high, part, _ = _cuts(image.shape[1], w)
     both = rows[:, low] + (rows[:, high] - rows[:, low]) * part[None, :, None]

@@ -250,15 +250,20 @@ class Counter:
     def count(self, piece: bytes) -> int:
         if piece in self.rank:
             return 1
-        if len(self.states) > STATES:
-            self.fresh()
-            self.valid.clear()
         state = n = 0
-        step = self.step
-        for byte in piece:
-            got = step.get(state << 8 | byte) or self.compiled(state, byte)
-            state = got >> 20
-            n += (got & 0xFFFFF) - (1 << 19)
+        for at in range(0, len(piece), 4096):
+            if len(self.states) > STATES:  # also within a long piece: what goes on is the state that it is in
+                now = self.states[state]
+                self.fresh()
+                self.valid.clear()
+                state = self.number.setdefault(now, len(self.states))
+                if state == len(self.states):
+                    self.states.append(now)
+            step = self.step
+            for byte in piece[at : at + 4096]:
+                got = step.get(state << 8 | byte) or self.compiled(state, byte)
+                state = got >> 20
+                n += (got & 0xFFFFF) - (1 << 19)
         return n
 
     def texts(self, text: str, off: np.ndarray) -> np.ndarray:

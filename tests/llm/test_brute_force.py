@@ -540,7 +540,7 @@ def test_token_counts_equal_the_tokenizer(name, monkeypatch):
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=rank, special_tokens={})
     alphabet = "abc thequickésß'sreldv019  \n\t!?.,'\"…中文字🙂　 -_"
     texts = ["".join(RNG.choice(alphabet) for _ in range(RNG.randint(0, 1500))) for _ in range(120)]
-    texts += ["", "'", "don't we've 're 'rx 'll 'lx", "a  b\n\n c   ", "  ", "\n \n", " 's", "x's!'s", "The The " * 300, "a" * 4000, "<|endoftext|>"]
+    texts += ["", "'", "don't we've 're 'rx 'll 'lx", "a  b\n\n c   ", "  ", "\n \n", " 's", "x's!'s", "The The " * 300, "a" * 4000, "".join(RNG.choice("abcdefgh") for _ in range(20_000)), "<|endoftext|>"]
     monkeypatch.setattr(tokens, "STATES", 3000)
     got = np.concatenate([counter.texts(*b) for b in tokens.batches(pa.array(texts))])
     assert got.tolist() == [len(known.encode_ordinary(t)) for t in texts]
@@ -677,6 +677,25 @@ def test_media_formats_and_tiles():
         assert row[0] and row[1:] == (None,) * 8
 
 
+def test_large_images_and_equal_neighbours(monkeypatch):
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 256, (90, 70, 3), dtype=np.uint8)
+    whole = [media.area_resize(a, h, w) for h, w in ((32, 32), (8, 9), (100, 5))]
+    monkeypatch.setattr(media, "BAND", 1)
+    for got, (h, w) in zip(whole, ((32, 32), (8, 9), (100, 5))):
+        assert np.allclose(media.area_resize(a, h, w), got) and np.allclose(got, upscaled(a, h, w))
+    monkeypatch.undo()
+    big = np.repeat(np.repeat(a, 60, 0), 60, 1)  # 68 million samples
+    got = {row[5:7]: np.load(io.BytesIO(row[8])) for row in media.tiles(b"P6 4200 5400 255\n" + big.tobytes(), 32, 16)}
+    want = np.rint(media.area_resize(a, 32, 32)).astype(np.uint8)
+    assert set(got) == {(0, 0), (0, 1), (1, 0), (1, 1)} and all((got[y, x] == want[16 * y : 16 * y + 16, 16 * x : 16 * x + 16]).all() for y, x in got)
+    assert media.difference_hash(np.full((40, 40, 1), 77, dtype=np.uint8)) == 0
+    # A header that announces more than its bytes can hold costs nothing.
+    for bad in (b"P1 99999999 99999999\n1", b"P3 99999999 99999999 255\n1", b"P4 99999999 99999999\n1"):
+        [row] = media.tiles(bad, 32, 16)
+        assert row[0] == "truncated"
+
+
 def test_npy_files_are_written(spark, tmp_path):
     df = spark.createDataFrame([(1, b"P5 2 2 255\n\x00\x40\x80\xff"), (2, b"bad")], "doc_id long, payload binary")
     found = media.media_tiles(df)

@@ -26,7 +26,8 @@ CLASHING = ("key", "block", "grams", "h", "at", "role", "predicted", "tokens", "
 @pytest.fixture(scope="module")
 def docs(spark):
     df = spark.createDataFrame(ROWS, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    return df.withColumns({c: F.lit("clash") for c in CLASHING}).cache()
+    # A map can be neither compared nor grouped: it has to pass through.
+    return df.withColumns({c: F.lit("clash") for c in CLASHING} | {"m": F.create_map(F.lit("k"), F.col("n_chars"))}).cache()
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +74,33 @@ def test_hard_rows_and_empty_tables(docs, benchmark, labels, name):
         assert len(rows) == len(ROWS)
 
 
+@pytest.mark.parametrize("name", RUNS)
+def test_empty_benchmark_and_labels_alone(docs, benchmark, labels, name):
+    rows = RUNS[name](docs, benchmark.limit(0), labels.limit(0)).collect()
+    if name == "op7":
+        assert not rows
+    if name == "keep7":
+        assert len(rows) == len(ROWS)
+    if name == "op10":
+        assert len(rows) == len(ROWS) and all(r.reference_bytes == 2 for r in rows)
+
+
+def test_clashing_columns_pass_through(docs, benchmark):
+    for kept in (langid.keep_identified(docs), jaccard.keep_one(docs), decontam.keep_clean(docs, benchmark), pii.keep_redacted(docs), mixing.keep_mixed(docs)):
+        rows = kept.collect()
+        assert rows and kept.columns == docs.columns and kept.dtypes == docs.dtypes
+        assert all(r[c] == "clash" for r in rows for c in CLASHING) and all(r.m == {"k": r.n_chars} or kept is not docs for r in rows)
+
+
+def test_repeated_ids_with_several_texts(spark):
+    rows = [(1, "b " * 40, {"x": 1}), (1, "a c d e f g", {"x": 2}), (1, None, {"x": 3}), (2, "a c d e f g", {"x": 4}), (None, "a c d e f g", {"x": 5}), (None, None, {"x": 6})]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string, int>")
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in jaccard.near_classes(df).collect())
+    assert got == [(1, 1, 0), (1, 1, 0), (1, 1, 1), (2, 1, 1)]
+    # Of document 1 the null text is the least: it stays, and document 2 isn't a copy of it.
+    assert sorted(r.m["x"] for r in jaccard.keep_one(df).collect()) == [3, 4, 5, 6]
+
+
 def test_values_of_hard_rows(docs, benchmark, labels):
     t = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs, PATH).collect()}
     assert t[3] == t[4] == 0 and t[5] > 100_000
@@ -92,9 +120,24 @@ def test_values_of_hard_rows(docs, benchmark, labels):
     assert {r.doc_id for r in langid.language_id(docs).collect() if r.predicted is None} >= {3, 4, 7}
 
 
-def test_pipeline_runs_on_hard_rows(spark, docs, benchmark, tmp_path):
+def test_pipeline_on_hard_rows_and_empty_tables(spark, docs, benchmark, tmp_path):
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    own = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    left = []
+    for name, stage in corpus_pipeline.STAGES:
+        seen = stage(spark, seen, str(tmp_path)).cache()
+        left.append(sorted((r.doc_id or 0) for r in seen.collect()))
+        assert seen.columns == docs.columns
+    # Rejected: 3, 4 and 7, which have no text. Copies: 2, whose id is there twice besides. The benchmark is in 1 and 5.
+    assert [set(x) for x in left[:3]] == [{0, 1, 2, 5, 6}, {0, 1, 5, 6}, {0, 6}] and left[3] == left[2]
+    assert {r.doc_id: r.text for r in spark.createDataFrame(seen.collect(), seen.schema).collect()}.get(6) in (None, "mail [EMAIL] or [IP] now")
     got = corpus_pipeline.run(spark, str(tmp_path))
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-    got.collect()
+    assert got.columns == docs.columns and sorted((r.doc_id or 0) for r in got.collect()) == left[4]
+    for empty, other in (("documents", own.limit(0)), ("benchmark", benchmark.limit(0))):
+        at = f"{tmp_path}/no-{empty}"
+        (other if empty == "documents" else own).write.parquet(f"{at}/documents.parquet")
+        (other if empty == "benchmark" else benchmark).write.parquet(f"{at}/benchmark.parquet")
+        rows = corpus_pipeline.run(spark, at)
+        assert rows.columns == own.columns and (rows.count() == 0) == (empty == "documents")

@@ -6,35 +6,53 @@ facts: image bytes are never shuffled.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marlspan.functions import png
+from marlspan.functions import jpeg, png
 from marlspan.functions.hashes import IMAGE_HASHES, lanczos
 from marlspan.functions.token_counters import token_count
 
 FACTS = "shard string, member string, corrupted boolean, corruption_reason string, image_width int, image_height int, image_file_size bigint, pixel_std double, rgb_std double, thumb_std double, flat boolean, image_channels int, image_mode string, image_hash bigint"
 
 
+def reader(data: bytes):
+    """The module that reads an image's format: JPEG by its first bytes, else PNG."""
+    return jpeg if data[:2] == b"\xff\xd8" else png
+
+
+def as_png(data: bytes | None) -> bytes | None:
+    """An image as an RGB PNG over white; None where it can't be read."""
+    if data and reader(data) is jpeg:
+        try:
+            return png.encode(jpeg.decode(data, rgb=True))
+        except png.BadPng:
+            return None
+    return png.normalised(data)
+
+
 def measured(shard: str, member: str | None, data: bytes | None, error: str | None, hashed: str | None, pixels: bool) -> tuple:
     """The facts of a member; a shard that breaks off has one row without a member."""
     blank = (None,) * 9
     if error:
         return shard, member, True, f"tar: {error}", *blank, None
+    kind = reader(data)
     try:
-        w, h, mode, channels = png.header(data)
+        w, h, mode, channels = kind.header(data)
     except png.BadPng as e:
         return shard, member, True, str(e), None, None, len(data), *(None,) * 6, None
-    if not png.verified(data):
+    if not kind.verified(data):
         return shard, member, True, "verify", w, h, len(data), None, None, None, None, channels, mode, None
     if not pixels:
         return shard, member, False, None, w, h, len(data), None, None, None, None, channels, mode, None
     try:
-        own, rgb = png.decode(data), png.decode(data, rgb=True)
+        own, rgb = kind.decode(data), kind.decode(data, rgb=True)
     except png.BadPng as e:
         return shard, member, True, str(e), w, h, len(data), None, None, None, None, channels, mode, None
     small = np.stack([lanczos(rgb[:, :, c], min(128, h), min(128, w)) for c in range(3)], axis=2)
@@ -122,11 +140,39 @@ def normalised_png(data: Column) -> Column:
 
     @F.arrow_udf("binary")
     def run(images: pa.Array) -> pa.Array:
-        return pa.array([png.normalised(x) for x in images.to_pylist()], pa.binary())
+        return pa.array([as_png(x) for x in images.to_pylist()], pa.binary())
 
     return run(data)
 
 
+def loose_images(rows: DataFrame, folder: str, path: str = "image") -> DataFrame:
+    """rows with data: the bytes of the file at folder/path, null where there is none.
+
+    The folder is one that all executors share; each task reads the files of its rows. A path that leads out of
+    the folder is missing.
+    """
+    kind = T.StructType([*rows.schema.fields, T.StructField("data", T.BinaryType())])
+    root = os.path.realpath(folder)
+
+    def read(name: str | None) -> bytes | None:
+        at = os.path.realpath(os.path.join(root, name)) if name else root
+        if not at.startswith(root + os.sep):
+            return None
+        try:
+            with open(at, "rb") as f:
+                return f.read()
+        except OSError:
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([read(x) for x in part.column(path).to_pylist()], pa.binary())], names=[*b.schema.names, "data"])
+
+    return rows.mapInArrow(run, kind)
+
+
 def missing_image_policy(rows: DataFrame, missing: Column, policy: str) -> DataFrame:
     """keep or drop rows whose image is missing, or fail at the first."""
     if policy == "keep":

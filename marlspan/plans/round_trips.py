@@ -342,6 +342,16 @@ query("SELECT doc_id FROM documents")(_policy("keep"))
 query("SELECT doc_id FROM documents WHERE doc_id % 7 <> 0")(_policy("drop"))
 
 
+@query("SELECT page_id, CASE WHEN page_id % 3 <> 0 THEN octet_length(encode(url)) END AS size FROM pages")
+def loose_images(spark, sf_dir):
+    """Files beside rows; of every third row there is none, or the path leads elsewhere."""
+    at = folder(spark, "loose")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name"), F.col("url").cast("binary").alias("image"), F.lit("html").alias("code_language"), F.lit("").alias("code"))
+    records.write_folder(pages.where("page_id % 3 <> 0"), at).write.format("noop").mode("overwrite").save()
+    path = F.when(F.col("page_id") % 6 == 3, F.concat(F.lit("../codes/"), "name", F.lit(".html"))).otherwise(F.concat("name", F.lit(".png")))
+    return images.loose_images(pages.select("page_id", path.alias("image")), f"{at}/images").select("page_id", F.length("data").cast("bigint").alias("size"))
+
+
 # Messages and fences.
 
 

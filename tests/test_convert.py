@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from marlspan import __main__ as cli
@@ -69,5 +70,24 @@ def test_image_references(spark):
 
 
 def test_command_line(spark, tmp_path):
-    cli.main(["language_filter", "/root/testdata/sf0.001", str(tmp_path / "out")])
+    cli.main(["query", "language_filter", "/root/testdata/sf0.001", str(tmp_path / "out")])
     assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
+def test_command_line_options(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").withColumn("q", F.col("page_id").cast("string"))
+    pages.write.parquet(f"{tmp_path}/pages")
+    pages.write.json(f"{tmp_path}/pages.jsonl")
+    n = pages.count()
+    cli.main(["rewrite", "whitespace", f"{tmp_path}/pages", f"{tmp_path}/small"])
+    assert spark.read.parquet(f"{tmp_path}/small").count() == n
+    for k, rate in enumerate(("0.1", "1.0")):
+        cli.main(["prefer", "semantic_16", f"{tmp_path}/pages.jsonl", f"{tmp_path}/pairs{k}", "--seed", "7", "--rate", rate])
+    a, b = (sum(r.rejected_response != r.response for r in spark.read.parquet(f"{tmp_path}/pairs{k}").collect() if r.rejected_response) for k in (0, 1))
+    assert a <= b and b > 0
+    cli.main(["curate", f"{tmp_path}/pages", f"{tmp_path}/best", "--profile", "loose", "--quality", "q", "--top", "3"])
+    assert [r.page_id for r in spark.read.parquet(f"{tmp_path}/best").orderBy(F.desc("quality")).collect()] == sorted((r.page_id for r in pages.collect()), reverse=True)[:3]
+    cli.main(["summary", f"{tmp_path}/pages", f"{tmp_path}/sums.jsonl", "page_id"])
+    assert spark.read.json(f"{tmp_path}/sums.jsonl").first()["count"] == n
+    with pytest.raises(SystemExit):
+        cli.main(["curate", "a", "b", "--profile", "none"])

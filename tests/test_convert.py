@@ -81,10 +81,10 @@ def test_command_line_options(spark, tmp_path):
     n = pages.count()
     cli.main(["rewrite", "whitespace", f"{tmp_path}/pages", f"{tmp_path}/small"])
     assert spark.read.parquet(f"{tmp_path}/small").count() == n
-    for k, rate in enumerate(("0.1", "1.0")):
-        cli.main(["prefer", "semantic_16", f"{tmp_path}/pages.jsonl", f"{tmp_path}/pairs{k}", "--seed", "7", "--rate", rate])
-    a, b = (sum(r.rejected_response != r.response for r in spark.read.parquet(f"{tmp_path}/pairs{k}").collect() if r.rejected_response) for k in (0, 1))
-    assert a <= b and b > 0
+    for k, seed in enumerate(("7", "7", "8")):
+        cli.main(["prefer", "nesting_equal_share", f"{tmp_path}/pages.jsonl", f"{tmp_path}/pairs{k}", "--seed", seed])
+    a, b, c = ({r.page_id: r.rejected_response for r in spark.read.parquet(f"{tmp_path}/pairs{k}").collect()} for k in range(3))
+    assert a == b != c and len(a) == n
     cli.main(["curate", f"{tmp_path}/pages", f"{tmp_path}/best", "--profile", "loose", "--quality", "q", "--top", "3"])
     assert [r.page_id for r in spark.read.parquet(f"{tmp_path}/best").orderBy(F.desc("quality")).collect()] == sorted((r.page_id for r in pages.collect()), reverse=True)[:3]
     cli.main(["summary", f"{tmp_path}/pages", f"{tmp_path}/sums.jsonl", "page_id"])

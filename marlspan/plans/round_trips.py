@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marlspan.functions import code_text, messages, png
-from marlspan.operators import convert, images, ingest, profile, rows
+from marlspan.functions.rewriting import BLOCKS
+from marlspan.operators import convert, images, ingest, preferences, profile, rewrites, rows
 from marlspan.plans.catalog import chats, query, table
 from marlspan.shared import cut, shared_dir
 from marlspan.sources import records, tars
@@ -519,3 +520,69 @@ def page_tags(spark, sf_dir):
     from marlspan.functions.markup import value_density
 
     return table(spark, sf_dir, "pages").select("page_id", value_density("html").alias("d")).select("page_id", F.col("d.total_tags").cast("bigint").alias("total_tags"))
+
+
+# Rewriters and generators.
+
+_BLOCK = "('" + "', '".join(sorted(BLOCKS)) + "')"
+_LEFT, _RIGHT = r"lower(regexp_extract(p[i - 1], '<?/?(\w+)[^<>]*$', 1))", r"lower(regexp_extract(p[i], '^/?(\w+)', 1))"
+
+
+@query(
+    rf"""WITH s AS (SELECT page_id, string_split(html, '><') AS p FROM pages)
+SELECT page_id, array_to_string(list_transform(range(1, len(p) + 1), lambda i: CASE WHEN i = 1 THEN p[1]
+WHEN regexp_matches(p[i - 1], '(?i)!doctype[^<>]*$') OR (regexp_matches(p[i - 1], '(^|<)/?\w[^<>]*$') AND {_RIGHT} <> '' AND ({_LEFT} IN {_BLOCK} OR {_RIGHT} IN {_BLOCK})) THEN '><' || p[i]
+ELSE '>' || chr(32) || chr(10) || '<' || p[i] END), '') AS html FROM s"""
+)
+def rewrite_whitespace_gaps(spark, sf_dir):
+    """White space is put between all tags: it goes where one of them is a block, and after the doctype."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.replace("html", F.lit("><"), F.lit("> \n<")).alias("html"))
+    return rewrites.rewrite(pages, "html", "whitespace").select("page_id", "html")
+
+
+_HOWS = ("class_names", "css_first", "human_readable", "max_compression", "whitespace")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{how}' AS how, page_id, page_id % 4 = 0{' OR page_id % 4 = 3' if how in ('human_readable', 'whitespace', 'css_first') else ''} AS processed, "
+        f"CASE page_id % 4 WHEN 1 THEN 'no_gpt_response' WHEN 2 THEN 'no_html_content' {'' if how in ('human_readable', 'whitespace', 'css_first') else 'WHEN 3 THEN ' + chr(39) + 'no_style_tags' + chr(39)} END AS reason FROM pages"
+        for how in _HOWS
+    )
+)
+def rewrite_reasons(spark, sf_dir):
+    """What each rewriter skips, and why: a missing response, one that is no page, one without styles."""
+    kind = F.col("page_id") % 4
+    given = F.when(kind == 0, F.col("html")).when(kind == 1, "").when(kind == 2, "plain text").otherwise("<html><body>x</body></html>")
+    pages = table(spark, sf_dir, "pages").select("page_id", given.alias("html"))
+    parts = [rewrites.rewrite(pages, "html", how).select(F.lit(how).alias("how"), "page_id", "processed", "reason") for how in _HOWS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+_GENERATORS = (*preferences.DISPATCHERS, "semantic_2", "semantic_8", "semantic_16", "combined", "combined_equal_share")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{how}' AS how, page_id, CASE page_id % 3 WHEN 1 THEN 'no_user_message' WHEN 2 THEN 'no_assistant_response' END AS reason, CASE WHEN page_id % 3 = 0 THEN true END AS differs, "
+        f"CASE WHEN page_id % 3 = 0 THEN {'NULL' if how.startswith('combined') else chr(39) + ('semantic' if how.startswith('semantic') else 'repetition') + chr(39)} END AS mode FROM pages"
+        for how in _GENERATORS
+    )
+)
+def preference_reasons(spark, sf_dir):
+    """Of every generator: what it skips, that what it rejects differs from what it was given, and its kind."""
+    kind = F.col("page_id") % 3
+    page = F.concat(F.lit(_PAGE), F.col("url"), F.lit("\n</body>\n</html>"))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.when(kind != 1, F.col("url")).alias("ask"), F.when(kind != 2, page).alias("answer"))
+    out = None
+    for how in _GENERATORS:
+        got = preferences.pairs(pages, "page_id", F.col("ask"), F.col("answer"), how, rate=1.0)
+        one = got.select(F.lit(how).alias("how"), "page_id", "reason", (F.col("rejected_response") != F.col("response")).alias("differs"), (F.lit(None) if how.startswith("combined") else F.col("rejection_mode")).cast("string").alias("mode"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+_PAGE = "<!DOCTYPE html>\n<html>\n<head>\n<style>\np { color: #112233; margin: 10px; padding: 4px; }\n.card { background: #abcdef; width: 200px; }\n.row { border: 1px solid #00ff00; font-size: 12px; }\n</style>\n</head>\n<body>\n" + "".join(f"<div class='card row'>\n<h2>part {i}</h2>\n<p>first of {i}</p>\n<p>second of {i}</p>\n</div>\n" for i in range(12))

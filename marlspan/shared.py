@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +32,52 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def cut(df: DataFrame, kept: bool = False) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, lost executors lose nothing.
 
-    The files are removed when the driver's JVM ends.
+    The files are removed when the driver's JVM ends, or, unless they are kept, with the scratch that they are in.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    own = _scratch.get()
+    if own is not None and not kept:
+        own.append(path)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    fs, at = _file_system(spark, path)
+    fs.deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that are cut within are removed at its end; what is to be read later must be cut as kept."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            fs, at = _file_system(spark, path)
+            fs.delete(at, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that was cut as kept."""
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        if os.path.basename(folder).startswith("cut-"):
+            fs, at = _file_system(df.sparkSession, folder)
+            fs.delete(at, True)
+
+
 def sized_join(df: DataFrame, side: DataFrame, on, how: str, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join a narrow side: broadcast when its counted rows and its bytes stay under the limits, else by shuffle.
 

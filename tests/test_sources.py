@@ -291,3 +291,17 @@ def test_arrays_go_on_after_an_empty_beginning(spark, tmp_path):
     assert json.loads(text) == [{"k": k, "t": f'a"b {k}'} for k in range(7)]
     with pytest.raises(ValueError):
         records.write_array(df, at, F.col("k"))
+
+
+def test_scratch_removes_what_is_not_kept(spark, tmp_path):
+    from marlspan import shared
+
+    with shared.scratch(spark):
+        gone = shared.cut(spark.range(3))
+        kept = shared.cut(gone.where("id > 0"), kept=True)
+        paths = [Path(df.inputFiles()[0].removeprefix("file:").replace("///", "/")).parent for df in (gone, kept)]
+    assert [p.exists() for p in paths] == [False, True] and kept.count() == 2
+    shared.discard(kept)
+    assert not paths[1].exists()
+    outside = shared.cut(spark.range(2))
+    assert outside.count() == 2

@@ -44,12 +44,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
-    from marlspan.shared import cut
+    """All stages over documents; each result is written to the shared folder and read again, and what it was made of removed."""
+    from marlspan.shared import cut, discard, scratch
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = cut(docs)
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark):
+            made = cut(stage(spark, docs, sf_dir), kept=True)
+        if k:
+            discard(docs)
+        docs = made
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -87,11 +87,20 @@ def anchors(w: Words, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     return g, np.flatnonzero(chosen)
 
 
-def runs(w: Words, g: np.ndarray, p: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """The anchors p in groups with a period: copies that follow each other, three at least; else one, period 0."""
+def sums(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two arrays by which a stretch of words is hashed: (total[end] - total[start]) * down[start]."""
     up, down = _grown(len(w.hash) + 1)
     total = np.zeros(len(w.hash) + 1, dtype=np.uint64)
     np.cumsum(w.hash * up[: len(w.hash)], out=total[1:])
+    return total, down
+
+
+def runs(w: Words, g: np.ndarray, p: np.ndarray, total: np.ndarray, down: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """The anchors p in groups with a period: copies that follow each other, three at least; else one, period 0."""
+    if len(p) < 3:
+        for x in p:
+            yield np.array([x]), 0
+        return
     q = p[np.lexsort((p, g[p], w.doc[p]))]
     # Between neighbours of one anchor: their distance (0: others), and the words that it spans.
     step = np.where((w.doc[q[1:]] == w.doc[q[:-1]]) & (g[q[1:]] == g[q[:-1]]), np.diff(q), 0)
@@ -118,9 +127,7 @@ def _anchored(min_words: int):
             ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             doc, pos = w.doc[p], p - w.first[w.doc[p]]
             full = pos >= width
-            up, down = _grown(len(w.hash) + 1)
-            total = np.zeros(len(w.hash) + 1, dtype=np.uint64)
-            np.cumsum(w.hash * up[: len(w.hash)], out=total[1:])
+            total, down = sums(w)
             back = np.where(full, p - width, p)
             before = mix((total[p] - total[back]) * down[back])
             alone = mix(ids[doc].astype(np.uint64) * np.uint64(2654435761) + pos.astype(np.uint64) + np.uint64(77))
@@ -165,14 +172,13 @@ def _received(b: pa.RecordBatch) -> Iterator[tuple[int, "Row"]]:
             yield h, Row(doc, pos, tuple(masks), period, back[end - a - UNIT * n : end - a], raw[a + UNIT * n : z])
 
 
-def starts_of(a: int, g: np.ndarray, lo: int, hi: int, width: int, min_words: int) -> Iterator[int]:
-    """How far before anchor a the starts lie whose first anchor it is."""
-    for d in range(min(width, a - lo + 1)):
-        if d and g[a - d] <= g[a]:
-            break  # an earlier k-gram is the least of this and longer windows
-        window = g[a : min(hi, a - d + width)]
-        if hi - (a - d) >= min_words and window.min() == g[a]:
-            yield d
+def starts_of(a: int, g: np.ndarray, lo: int, hi: int, width: int, min_words: int) -> range:
+    """How far before anchor a the starts lie whose first anchor it is: those whose window holds no lesser
+    k-gram, and none as little before it, and from which min_words are left."""
+    ahead = np.flatnonzero(g[a + 1 : min(hi, a + width)] < g[a])
+    before = np.flatnonzero(g[max(lo, a - width + 1) : a][::-1] <= g[a])
+    first = max(0, min_words - (hi - a), a + width - (a + 1 + int(ahead[0])) if len(ahead) else 0)
+    return range(first, int(before[0]) + 1 if len(before) else min(width, a - lo + 1))
 
 
 def _chains(at: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,14 +198,15 @@ def _suffixes(min_words: int):
             w = words(b.column("text"))
             g, _ = anchors(w, min_words)
             plain, place = _plain(w)
+            total, down = sums(w)
             rows: list[tuple] = []
             held = 0
             lists = b.column("at")
             for r in range(b.num_rows):
                 lo, hi = int(w.first[r]), int(w.first[r + 1])
                 at, pos, end = _chains(lists[r].values.to_numpy(), hi - lo, width)
-                for own, period in runs(w, g, lo + pos[(at & 3) == DIVERSE]):
-                    masks = [sum(1 << d for d in starts_of(a, g, lo, hi, width, min_words)) for a in own.tolist()]
+                for own, period in runs(w, g, lo + pos[(at & 3) == DIVERSE], total, down):
+                    masks = [max(0, (1 << x.stop) - (1 << x.start)) for x in (starts_of(a, g, lo, hi, width, min_words) for a in own.tolist())]
                     a = int(own[0])
                     p = a - lo
                     if any(masks):

@@ -28,7 +28,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are selected so that all sources weigh the same in tokens."""
+    """Documents are selected to each source's budget: 0.7 of all tokens, by the roots of the sources' tokens."""
     return mixing.keep_mixed(docs)
 
 

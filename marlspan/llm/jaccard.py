@@ -1,9 +1,13 @@
 """N-gram Jaccard self-join: a blocked sparse product of the document by n-gram incidence matrix.
 
-Documents of one n-gram set are one row of the matrix, a node (a 64-bit hash of the set). Blocks:
-3-row bands of minimum hashes over all n-grams of each whole text; nodes that share a band key, and
-what they connect to, form a block. A pair of Jaccard J shares a band with probability
-1 - (1 - J^3)^BANDS: 0.995 at the threshold 0.5, more above it. Within a block the product is exact:
+Documents of one n-gram set are one row of the matrix, a node (a 64-bit hash of the set). Blocks are
+what two searches connect. 3-row bands of minimum hashes over all n-grams of each whole text: nodes that
+share a band key. This misses a pair of Jaccard J with probability (1 - J^3)^BANDS, 0.005 at the
+threshold 0.5, so that a second search is exact. With the n-grams of all sets in one order, the rarest
+first, a pair at the threshold t shares one of the first |a| - t|a| + 1 n-grams of either, and the first
+that it shares, at places p and q, leaves room for the overlap: 1 + min(|a| - p - 1, |b| - q - 1) is
+t / (1 + t) (|a| + |b|) at least. Nodes of which this is true are connected, as are all that share one of
+these n-grams where they are more than LIST. Within a block the product is exact:
 overlaps are summed over all n-grams, columns of one node are dropped, and pairs are discarded
 when sizes alone rule them out (t|a| > |b|) or the overlap is under t / (1 + t) (|a| + |b|).
 
@@ -22,10 +26,12 @@ whatever other columns there are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +46,10 @@ DENSE, TILE, COLUMNS, LIGHT = 24, 512, 4096, 32
 FLUSH = 1_500_000
 #: Incidences of a slot: heavier blocks are multiplied in several cells.
 CELL = 4_000_000
+#: Postings of one n-gram up to which pairs are held against the bounds; more become a star.
+LIST = 64
+#: n-grams, repeated ones too, that are counted at once.
+COUNTED = 1_000_000
 #: Names beside the columns of documents that pass through.
 AGAIN, GONE = "__marlspan_again_b7c2", "__marlspan_gone_b7c2"
 _MULTIPLIER = np.random.default_rng(7).integers(1, 2**63, ROWS * 64, dtype=np.uint64) | np.uint64(1)
@@ -140,6 +150,186 @@ def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows(EDGE, node[other], least[other])
 
 
+#: Rows of the exact search: a slice's nodes and their sizes; n-grams of a slice and the rows that have them.
+_COUNTED = "bucket int, slice bigint, nodes binary, rows binary, grams binary, counts binary"
+
+
+def _packed(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of numbers, first bytes first, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+
+
+def _unpacked(x: bytes, width: int) -> np.ndarray:
+    low = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=np.uint8).reshape(width, -1)
+    out = np.zeros((low.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = low.T
+    return out.view("<u8").ravel()
+
+
+def _grams_part(bucket: int, at: int, rows: np.ndarray, grams: np.ndarray, counts: np.ndarray | None = None) -> dict:
+    """n-grams of a bucket, whose number is their last bits, by ascending rows."""
+    return {
+        "bucket": bucket, "slice": at, "rows": _packed(np.diff(rows, prepend=0), 4), "grams": _packed(grams >> np.uint64(8), 7), "counts": None if counts is None else _packed(counts, 8)
+    }
+
+
+def _rows_and_grams(x: dict) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(_unpacked(x["rows"], 4).astype(np.int64)), _unpacked(x["grams"], 7) << np.uint64(8) | np.uint64(x["bucket"] & 255)
+
+
+_COUNTED_ARROW = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), *((c, pa.binary()) for c in ("nodes", "rows", "grams", "counts"))])
+
+
+def _bucketed(n: int, buckets: int):
+    """Of each slice its nodes, and its n-grams by buckets of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        at = TaskContext.get().partitionId() << 32
+        for b in slices(batches):
+            h, first, node = _distinct(*_row_grams(words(b.column("text")), n))
+            size = np.diff(first)
+            row = np.repeat(np.arange(len(node)), size)
+            bucket = h & np.uint64(buckets - 1)
+            by = np.argsort(bucket, kind="stable")
+            h, row, bucket = h[by], row[by], bucket[by]
+            edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(h) else np.zeros(1, dtype=np.int64)
+            out = [_grams_part(int(bucket[x]), at, row[x:y], h[x:y]) for x, y in zip(edge[:-1], edge[1:])]
+            out.append({"bucket": at % buckets, "slice": at, "nodes": np.stack([node, size]).tobytes()})
+            yield pa.RecordBatch.from_pylist(out, _COUNTED_ARROW)
+            at += 1
+
+    return run
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: the n-grams that occur again, with their counts, for the slices that they came from."""
+
+    def counted(held: list[dict]) -> pa.RecordBatch:
+        own = [_rows_and_grams(x) for x in held]
+        gram = np.concatenate([g for _, g in own])
+        by = np.argsort(gram)
+        start = np.flatnonzero(np.r_[True, gram[by][1:] != gram[by][:-1]])
+        df = np.diff(np.r_[start, len(gram)])
+        count = np.empty(len(gram), dtype=np.int64)
+        count[by] = np.repeat(df, df)
+        out, lo = [], 0
+        for x, (row, g) in zip(held, own):
+            c = count[lo : lo + len(row)]
+            at = np.flatnonzero(c > 1)
+            if len(at):
+                out.append(_grams_part(x["bucket"], x["slice"], row[at], g[at], c[at]))
+            lo += len(row)
+        return pa.RecordBatch.from_pylist(out, _COUNTED_ARROW)
+
+    held: list[dict] = []
+    for b in batches:
+        yield b.filter(b.column("nodes").is_valid())
+        for x in b.filter(b.column("nodes").is_null()).to_pylist():
+            if held and held[0]["bucket"] != x["bucket"]:
+                yield counted(held)
+                held = []
+            held.append(x)
+    if held:
+        yield counted(held)
+
+
+def _prefixes(t: float):
+    """Rows sorted by slice: each node's first n-grams, those that occur once left out, with their places in the order."""
+
+    def posted(held: list[dict]) -> pa.RecordBatch:
+        node, size = next(np.frombuffer(x["nodes"], dtype=np.int64).reshape(2, -1) for x in held if x["nodes"] is not None)
+        own = [(*_rows_and_grams(x), _unpacked(x["counts"], 8)) for x in held if x["nodes"] is None]
+        row, gram, count = (np.concatenate(x) for x in zip(*own)) if own else (np.zeros(0, dtype=kind) for kind in (np.int64, np.uint64, np.uint64))
+        by = np.lexsort((gram, count, row))
+        row, gram = row[by], gram[by]
+        many = np.bincount(row, minlength=len(node))
+        # n-grams that occur once come first.
+        place = np.arange(len(row)) - (np.cumsum(many) - many)[row] + (size - many)[row]
+        at = np.flatnonzero(place <= size[row] - np.ceil(t * size[row] - 1e-9))
+        cols = [pa.array(gram[at].view(np.int64)), pa.array(node[row[at]]), pa.array(size[row[at]].astype(np.int32)), pa.array(place[at].astype(np.int32))]
+        return pa.RecordBatch.from_arrays(cols, names=["gram", "node", "size", "place"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for b in batches:
+            for x in b.to_pylist():
+                if held and held[0]["slice"] != x["slice"]:
+                    yield posted(held)
+                    held = []
+                held.append(x)
+        if held:
+            yield posted(held)
+
+    return run
+
+
+def _index_pairs(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places within each run, some 100,000 or more at a time."""
+    i, j, held = [], [], 0
+    for m in np.unique(length[length > 1]).tolist():
+        x, y = np.triu_indices(m, 1)
+        at = start[length == m]
+        most = max(1, 200_000 // len(x))
+        for lo in range(0, len(at), most):
+            i.append((at[lo : lo + most, None] + x).ravel())
+            j.append((at[lo : lo + most, None] + y).ravel())
+            held += len(i[-1])
+            if held > 100_000:
+                yield np.concatenate(i), np.concatenate(j)
+                i, j, held = [], [], 0
+    if held:
+        yield np.concatenate(i), np.concatenate(j)
+
+
+def _possible(t: float):
+    """Postings sorted by gram and node: pairs of nodes that the bounds allow, or stars of those of a gram that many have."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((4, 0), dtype=np.int64)
+        long = None  # the n-gram of a star that goes on
+        for b in chain(batches, [None]):
+            if b is not None:
+                held = np.concatenate([held, np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("gram", "node", "size", "place")])], axis=1)
+            gram, node, size, place = held
+            if not len(gram):
+                continue
+            start = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            length = np.diff(np.r_[start, len(gram)])
+            # The last run may go on in the next batch, unless it is a star already: then its centre is enough.
+            star = (length > LIST) | (gram[start] == long)
+            whole = np.ones(len(start), dtype=bool)
+            whole[-1] = b is None or star[-1]
+            found = []
+            for x, m in zip(start[star & whole].tolist(), length[star & whole].tolist()):
+                found.append((np.full(m - 1, node[x]), node[x + 1 : x + m]))
+            short = ~star & whole
+            for i, j in _index_pairs(start[short], length[short]):
+                small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                room = 1 + np.minimum(size[i] - place[i] - 1, size[j] - place[j] - 1)
+                ok = (small >= t * large - 1e-9) & (room * (1 + t) >= t * (small + large) - 1e-9) & (node[i] != node[j])
+                found.append((node[i[ok]], node[j[ok]]))
+            if found:
+                a, c = np.unique(np.stack([np.concatenate(x) for x in zip(*found)]), axis=1)
+                yield _rows(EDGE, c, a)
+            last = int(start[-1])
+            long = int(gram[-1]) if star[-1] else None
+            held = held[:, last : last + 1] if star[-1] else held[:, last:]
+
+    return run
+
+
+def exact_edges(text: DataFrame, n: int, t: float, total: int) -> DataFrame:
+    """(a, b): nodes that may be at the threshold t, and all pairs of nodes that are. total: n-grams of all sets."""
+    parts = int(text.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 1 << max(8, (4 * parts - 1).bit_length(), (-(-total // COUNTED)).bit_length())
+    counted = text.mapInArrow(_bucketed(n, buckets), _COUNTED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    again = counted.mapInArrow(_frequent, _COUNTED).repartition(parts, "slice").sortWithinPartitions("slice")
+    postings = again.mapInArrow(_prefixes(t), "gram bigint, node bigint, size int, place int").repartition(parts, "gram").sortWithinPartitions("gram", "node")
+    return postings.mapInArrow(_possible(t), _FOUND).where("a != b").select("a", "b")
+
+
 def _sets(n: int):
     """Sets of the rows whose node is the one that is looked for."""
 
@@ -327,7 +517,7 @@ class Blocks(NamedTuple):
     split: bool
 
 
-def blocks(docs: DataFrame, n: int, bands: int, cell: int) -> Blocks:
+def blocks(docs: DataFrame, n: int, threshold: float, bands: int, cell: int) -> Blocks:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
@@ -335,7 +525,9 @@ def blocks(docs: DataFrame, n: int, bands: int, cell: int) -> Blocks:
     kinds = cut(found.mapInArrow(_starred, _FOUND))
     members = kinds.where(F.col("kind") == MEMBER).select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("size")).distinct()
     nodes = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.max("size").alias("size"))
-    edges = kinds.where((F.col("kind") == EDGE) & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+    edges = kinds.where((F.col("kind") == EDGE) & (F.col("a") != F.col("b"))).select("a", "b")
+    total = members.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    edges = edges.union(exact_edges(text, n, threshold, total)).distinct()
     block = connected_components(cut(edges)).select("node", F.col("component").alias("block"))
     # Each block's incidences tell into how many slots it is split; its cells are the pairs of slots.
     member = cut(block.join(nodes, "node"))
@@ -356,7 +548,7 @@ def blocks(docs: DataFrame, n: int, bands: int, cell: int) -> Blocks:
 
 def near_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, bands: int = BANDS, cell: int = CELL) -> DataFrame:
     """doc_id, class_id (the least doc_id that links lead to) and n_links, the other documents at or over the threshold."""
-    b = blocks(docs, n, bands, cell)
+    b = blocks(docs, n, threshold, bands, cell)
     linked = cut(b.cells.mapInArrow(_linked(threshold), "node bigint, rep bigint, links bigint, root bigint"))
     if b.split:  # the cells of one block tell parts of a class: the roots are joined
         edges = linked.select(F.col("rep").alias("a"), F.col("root").alias("b"))
@@ -369,7 +561,7 @@ def near_classes(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, band
 
 def representative_pairs(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, bands: int = BANDS, cell: int = CELL) -> DataFrame:
     """doc_id_a < doc_id_b, overlap in distinct n-grams, jaccard (6 places): all pairs of different n-gram sets, by their least documents."""
-    return blocks(docs, n, bands, cell).cells.mapInArrow(_paired(threshold), "doc_id_a bigint, doc_id_b bigint, overlap bigint, jaccard double")
+    return blocks(docs, n, threshold, bands, cell).cells.mapInArrow(_paired(threshold), "doc_id_a bigint, doc_id_b bigint, overlap bigint, jaccard double")
 
 
 def keep_one(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, bands: int = BANDS, cell: int = CELL) -> DataFrame:

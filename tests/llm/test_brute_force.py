@@ -192,6 +192,26 @@ def test_jaccard_join(spark):
         assert sorted(map(len, groups.values())) == [30, 30, 30, 60] and all(c == min(g) for c, g in groups.items())
 
 
+@pytest.mark.parametrize("most", [64, 3])
+def test_jaccard_loses_no_pair_that_shares_no_band(spark, monkeypatch, most):
+    # Of pairs at the threshold itself, in many sizes, one band finds few.
+    monkeypatch.setattr(jaccard, "LIST", most)
+    monkeypatch.setattr(jaccard, "COUNTED", 50)
+    rng, name = random.Random(6), iter(range(10**6))
+    docs = []
+    for k in range(90):
+        shared, x, y = ([f"u{next(name)}" for _ in range(m)] for m in (2 * (3 + k) + 2, 3 + k, 3 + k))
+        cut = rng.randint(0, 3 + k)
+        docs += [(3 * k, " ".join(x[:cut] + shared + x[cut:])), (3 * k + 1, " ".join(shared)), (3 * k + 2, " ".join(y + shared + ["the end of it"] * (k % 2)))]
+    docs += [(900 + k, f"a common line of all {k % 7} {k} " + " ".join(f"z{k // 4}{i}" for i in range(5))) for k in range(60)] + [(990, "one"), (991, "one two"), (992, "one two three four"), (993, "one two three")]
+    sets = {d: {tuple(x[i : i + 3]) for i in range(max(1, len(x) - 2))} for d, x in ((d, t.split()) for d, t in docs)}
+    want = {(a, b): len(sets[a] & sets[b]) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) * 1.5 >= 0.5 * (len(sets[a]) + len(sets[b]))}
+    assert len(want) > 150
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = jaccard.representative_pairs(df, bands=1).collect()
+    assert {(r.doc_id_a, r.doc_id_b): r.overlap for r in got} == want and len(got) == len(want)
+
+
 def test_hot_band_keys_become_stars():
     docs = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([f"a b c d e f g h {k % 3}" for k in range(400)])], names=["doc_id", "text"])
     got = pa.Table.from_batches(jaccard._keyed(3, 40)(iter([docs]))).to_pandas()

@@ -638,6 +638,31 @@ def test_cross_scores_by_definition(spark):
         assert r.relative_entropy == pytest.approx((c * math.log2(m) - s * math.log2(s)) / len(t), abs=1e-6)
 
 
+@pytest.mark.parametrize("part", [lmscore.PART, 700])
+def test_reference_holds_all_good_texts_in_order(spark, part):
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abc \x00é") for _ in range(900))
+    texts = [passage[rng.randrange(300) :] + str(k) + "ab" * rng.randint(0, 90) for k in range(12)] + ["ab" * 700, "a" * 500, "x"]
+    docs = spark.createDataFrame([*enumerate(texts), (50, "ab" * 700), (51, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in [*range(15), 50, 51]], "doc_id long, quality int, toxic int")
+    reference = lmscore.Mapped(lmscore.reference_of(docs, labels, part=part))
+    whole = reference.data.tobytes()
+    assert sorted(whole[:-1].split(b"\xff")) == sorted({t.encode() for t in texts})
+    assert reference.order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
+    assert reference.rank[reference.order].tolist() == list(range(len(whole)))
+    assert [t for t in texts if reference.find(t.encode()) is None] == [] and reference.find(b"y") is None
+
+
+def test_scores_are_of_all_good_text(spark):
+    # Of more good text than a part of it would hold, no phrase is missed.
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(4000)) for _ in range(100)]
+    docs = spark.createDataFrame([*enumerate(texts), (100, "".join(t[500:600] for t in texts))], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(100)], "doc_id long, quality int, toxic int")
+    r = next(r for r in lmscore.cross_parse(docs, labels).collect() if r.doc_id == 100)
+    assert r.reference_bytes == 400_000 and r.phrases == greedy_phrases(("".join(t[500:600] for t in texts)).encode(), [t.encode() for t in texts])
+
+
 def test_cross_parse_scores_equal_texts_alike_and_prefers_like_text(spark):
     rows, _, docs, table = cross_fixture(spark)
     for rate in (lmscore.RATE, 100):

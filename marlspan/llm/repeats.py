@@ -518,11 +518,11 @@ def _alike(x: bytes, y: bytes) -> int:
     return x.count(b" ", 0, i if n and differ[i] else n)
 
 
-_SEGMENT = "segment boolean, head string, tail string, d int, n_rows bigint, last bigint, before bigint, diverse boolean, above int"
+_SEGMENT = "segment boolean, head string, tail string, d int, n_rows bigint, last bigint, before bigint, diverse boolean, above int, pending bigint"
 _HOT = f"group_id bigint, place bigint, doc_id bigint, start int, period int, reach int, repeats array<struct<last: bigint, n_words: int, n_occurrences: int, period: int, fewer: int>>, {_SEGMENT}"
 _HOT_ARROW = pa.schema(
     [("group_id", pa.int64()), ("place", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()), ("period", pa.int32()), ("reach", pa.int32()), ("repeats", pa.list_(pa.struct(_REPEAT)))]
-    + [("segment", pa.bool_()), ("head", pa.string()), ("tail", pa.string()), ("d", pa.int32()), ("n_rows", pa.int64()), ("last", pa.int64()), ("before", pa.int64()), ("diverse", pa.bool_()), ("above", pa.int32())]
+    + [("segment", pa.bool_()), ("head", pa.string()), ("tail", pa.string()), ("d", pa.int32()), ("n_rows", pa.int64()), ("last", pa.int64()), ("before", pa.int64()), ("diverse", pa.bool_()), ("above", pa.int32()), ("pending", pa.int64())]
 )
 
 
@@ -538,25 +538,31 @@ def _ordered(min_words: int):
         d = own[0][0]
         left = [x[1] for x in own]
         opens: dict[int, list[dict]] = {}
+        inside = np.zeros(len(own) + 1, dtype=np.int64)
         for a, b, n in intervals(lcp, left, min_words - d):
             if not edge or (a > 0 and b < len(own) - 1):
                 opens.setdefault(a, []).append(_repeat(base + b, n + d, b - a + 1))
-        least = min_words - d
-        for i, (_, _, doc, start) in enumerate(own):
-            if edge and i in (0, len(own) - 1) or max(lcp[i], lcp[i + 1] if i + 1 < len(own) else 0) >= least:
-                yield {"group_id": g, "place": base + i, "doc_id": doc, "start": start, "period": 0, "reach": 0, "repeats": opens.get(i, []), "segment": False}
-        if not edge:
-            return
+                inside[a] += 1
+                inside[b + 1] -= 1
+        inside = np.cumsum(inside)
         cuts, low = {0}, None
-        for i in range(1, len(own)):
+        for i in range(1, len(own)) if edge else ():
             if low is None or lcp[i] < low:
                 cuts.add(i)
                 low = lcp[i]
         low = None
-        for i in range(len(own) - 1, 0, -1):
+        for i in range(len(own) - 1, 0, -1) if edge else ():
             if low is None or lcp[i] < low:
                 cuts.add(i)
                 low = lcp[i]
+        # What is in no repeat here may be in one that goes on in another task: its segment will tell.
+        least, at = min_words - d, 0
+        for i, (_, _, doc, start) in enumerate(own):
+            at = i if i in cuts else at
+            if inside[i] or edge and (i in (0, len(own) - 1) or max(lcp[i], lcp[i + 1]) >= least):
+                yield {"group_id": g, "place": base + i, "doc_id": doc, "start": start, "period": 0, "reach": 0, "repeats": opens.get(i, []), "segment": False, "pending": None if inside[i] else base + at}
+        if not edge:
+            return
         cut_ = sorted(cuts) + [len(own)]
         for a, b in zip(cut_, cut_[1:]):
             same = left[a] is not None and all(x == left[a] for x in left[a:b])
@@ -596,7 +602,7 @@ def _ordered(min_words: int):
 
 
 def _joined(min_words: int):
-    """The repeats of several segments of one g; each stands in a row of its first suffix."""
+    """The repeats of several segments of one g, each in a row of its first suffix, and the segments that are in one."""
 
     def found(own: list[dict]) -> Iterator[dict]:
         lcp = [0]
@@ -605,10 +611,15 @@ def _joined(min_words: int):
         d, total = own[0]["d"], np.cumsum([0] + [x["n_rows"] for x in own]).tolist()
         left = [None if x["diverse"] else x["before"] for x in own]
         opens: dict[int, list[dict]] = {}
+        inside = np.zeros(len(own) + 1, dtype=np.int64)
         for a, b, n in intervals(lcp, left, min_words - d):
             opens.setdefault(a, []).append(_repeat(own[b]["last"], n + d, total[b + 1] - total[a]))
+            inside[a] += 1
+            inside[b + 1] -= 1
         for a, repeats in opens.items():
             yield {k: own[a][k] for k in ("group_id", "place", "doc_id", "start", "period", "reach")} | {"repeats": repeats, "segment": False}
+        for a in np.flatnonzero(np.cumsum(inside)[:-1]).tolist():
+            yield {"group_id": own[a]["group_id"], "segment": True, "pending": own[a]["place"]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list[dict] = []
@@ -638,7 +649,13 @@ def _hot_repeats(own: DataFrame, min_words: int) -> DataFrame:
     order = ("g", "body", "doc_id", "start")
     scanned = cut(bodies.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_ordered(min_words), _HOT))
     segments = scanned.where("segment").repartition(parts, "group_id").sortWithinPartitions("group_id", "place")
-    return scanned.where("NOT segment").union(segments.mapInArrow(_joined(min_words), _HOT)).drop("segment", *[c.split()[0] for c in _SEGMENT.split(", ")[1:]])
+    across = cut(segments.mapInArrow(_joined(min_words), _HOT))
+    # A suffix is a row where a repeat holds it, as elsewhere.
+    rows = scanned.where("NOT segment")
+    held = sized_join(rows.where("pending IS NOT NULL"), across.where("segment").select("group_id", "pending"), ["group_id", "pending"], "left_semi")
+    found = rows.where("pending IS NULL").unionByName(held).drop(*[c.split()[0] for c in _SEGMENT.split(", ")])
+    opened = across.where("NOT segment").select("group_id", "place", F.col("repeats").alias("more"))
+    return sized_join(found, opened, ["group_id", "place"], "left").withColumn("repeats", F.concat("repeats", F.coalesce("more", F.array()))).drop("more")
 
 
 def occurrences(found: DataFrame) -> DataFrame:

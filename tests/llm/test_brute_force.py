@@ -69,6 +69,21 @@ def test_repeats_of_hot_anchors_span_tasks(spark, hot, seed):
     assert set(got) == brute_repeats(w, 10) and len(got) == len(set(got))
 
 
+@pytest.mark.parametrize("hot", [1, 4, 6])
+def test_hot_anchors_give_no_row_beside_repeats(spark, hot):
+    # The same word precedes most copies: what they share besides is no repeat of its own.
+    rng = random.Random(hot)
+    made = lambda n: " ".join(rng.choice(VOCABULARY) for _ in range(n))
+    passage, tails = made(30), [made(14) for _ in range(4)]
+    docs = [(d, f"{'same' if d % 4 else made(3)} {passage} {tails[d % 4]} {made(3)}") for d in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows, plain = ([r for r in repeats.maximal_repeats(df, 10, h).collect()] for h in (hot, 10**6))
+    opened = [(r.group_id, r.place, x["last"]) for r in rows for x in r.repeats]
+    assert all(any(g == r.group_id and a <= r.place <= b for g, a, b in opened) for r in rows)
+    assert len({(r.group_id, r.place) for r in rows}) == len(rows)
+    assert sorted((r.doc_id, r.start) for r in rows) == sorted((r.doc_id, r.start) for r in plain)
+
+
 def test_one_hot_passage_is_ordered_by_all_tasks(spark, monkeypatch):
     rng = random.Random(7)
     passage = [f"p{i}" for i in range(12)]

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspan.llm.words import Words, grams, mix, slices, words
+from marlspan.llm.words import Words, grams, lean, mix, slices, words
 from marlspan.operators.components import connected_components
 from marlspan.shared import cut, sized_join
 
@@ -110,6 +110,7 @@ def _starred_runs(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.nda
 def _keyed(n: int, bands: int):
     """Members, and, of each slice, stars of the nodes of one band key, whose centre alone goes on with the key."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             h, first = _row_grams(words(b.column("text")), n)
@@ -131,6 +132,7 @@ def _keyed(n: int, bands: int):
     return run
 
 
+@lean
 def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by a and b: keys become stars of the nodes that have them."""
     last, centre = None, 0
@@ -183,6 +185,7 @@ _COUNTED_ARROW = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), *((c,
 def _bucketed(n: int, buckets: int):
     """Of each slice its nodes, and its n-grams by buckets of their hashes."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -203,6 +206,7 @@ def _bucketed(n: int, buckets: int):
     return run
 
 
+@lean
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: the n-grams that occur again, with their counts, for the slices that they came from."""
 
@@ -251,6 +255,7 @@ def _prefixes(t: float):
         cols = [pa.array(gram[at].view(np.int64)), pa.array(node[row[at]]), pa.array(size[row[at]].astype(np.int32)), pa.array(place[at].astype(np.int32))]
         return pa.RecordBatch.from_arrays(cols, names=["gram", "node", "size", "place"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for b in batches:
@@ -286,6 +291,7 @@ def _index_pairs(start: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.nda
 def _possible(t: float):
     """Postings sorted by gram and node: pairs of nodes that the bounds allow, or stars of those of a gram that many have."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros((4, 0), dtype=np.int64)
         long = None  # the n-gram of a star that goes on
@@ -333,6 +339,7 @@ def exact_edges(text: DataFrame, n: int, t: float, total: int) -> DataFrame:
 def _sets(n: int):
     """Sets of the rows whose node is the one that is looked for."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             h, first, node = _distinct(*_row_grams(words(b.column("text")), n))
@@ -478,6 +485,7 @@ def _products(batches: Iterator[pa.RecordBatch], t: float) -> Iterator[tuple[dic
 def _linked(t: float):
     """Each node that has a partner in its cell: the documents that it is linked to there, and its root there."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, i, j, _ in _products(batches, t):
             rep, m = np.array(held["rep"]), np.array(held["m"])
@@ -499,6 +507,7 @@ def _linked(t: float):
 
 
 def _paired(t: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held, i, j, c in _products(batches, t):
             rep, size = np.array(held["rep"]), np.array([len(g) for g in held["grams"]])

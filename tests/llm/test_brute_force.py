@@ -3,8 +3,11 @@
 import collections
 import io
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -172,6 +175,31 @@ def test_runs_of_few_copies_are_whole(spark, size):
     assert len(got) == len(set(got)) and set(got) == brute_repeats(w, 10)
 
 
+def test_jaccard_tasks_give_back_what_they_freed():
+    """In a process of its own: after a task nothing is left that the allocators would let go of."""
+    code = """
+import ctypes, re
+import numpy as np, pyarrow as pa
+from marlspan.llm import jaccard
+
+def held():
+    return sum(map(int, re.findall(r"\\nAnonymous:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+words = np.random.default_rng(3).integers(0, 50_000, (3000, 300)).astype(str)
+batch = pa.RecordBatch.from_pydict({"doc_id": range(3000), "text": [" ".join(x) for x in words]})
+del words
+for _ in jaccard._keyed(3, 40)(iter([batch])):
+    pass
+del _
+after = held()
+pa.default_memory_pool().release_unused()
+ctypes.CDLL(None).malloc_trim(0)
+print(after - held())
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=os.environ | {"OMP_NUM_THREADS": "1"})
+    assert float(out.stdout) < 15
+
+
 def test_jaccard_join(spark):
     rng = random.Random(1)
     base = [[rng.choice(VOCABULARY) for _ in range(80)] for _ in range(4)]

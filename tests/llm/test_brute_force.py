@@ -791,3 +791,24 @@ def test_npy_files_are_written(spark, tmp_path):
     assert len(paths) == 4
     assert np.load(f"{tmp_path}/1/0_0.npy").tolist() == np.zeros((16, 16, 1)).tolist()
     assert np.load(f"{tmp_path}/1/1_1.npy").tolist() == np.full((16, 16, 1), 255).tolist()
+
+
+def test_ranks_of_the_reference_wait_until_places_are_gone(spark, monkeypatch):
+    """The two take the same disk."""
+    blocks, removed = [], lmscore._removed
+
+    def seen(folder, *kinds):
+        if "places-" in kinds:
+            blocks.append(os.stat(f"{folder}/rank").st_blocks)
+        removed(folder, *kinds)
+
+    monkeypatch.setattr(lmscore, "_removed", seen)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(VOCABULARY[:40], k=60)) + " the same end of many texts, which is longer than sixty-four bytes are" * (i % 3) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = lmscore.reference_of(docs, spark.createDataFrame([(i, 1, 0) for i in range(200)], "doc_id long, quality int, toxic int"), part=20_000)
+    assert blocks == [0]
+    found = lmscore.Mapped(folder)
+    whole = bytes(found.data)
+    assert found.order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
+    assert found.rank[found.order].tolist() == list(range(len(whole)))

@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlspan.llm.words import Words, _grown, mix, slices, words
+from marlspan.llm.words import SLICE_BYTES, Words, _grown, lean, mix, slices, words
 from marlspan.shared import cut, sized_join
 
 MIN_WORDS = 50
@@ -141,6 +141,8 @@ def _anchored(min_words: int):
 DIVERSE, OFTEN = 1, 2
 #: Occurrences from which an anchor's suffixes are ordered by several tasks.
 HOT = 20_000
+#: Suffixes from which on a task's trees become rows.
+LISTED = 100_000
 
 
 def _plain(w: Words) -> tuple[bytes, np.ndarray]:
@@ -161,8 +163,9 @@ def _sent(b: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
 def _received(b: pa.RecordBatch) -> Iterator[tuple[int, "Row"]]:
     """The anchors and suffixes of what _sent made."""
     unpack = zstandard.ZstdDecompressor().decompress
-    for part in slices(iter([pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([unpack(x) for x in b.column("body").to_pylist()], pa.large_binary())], names=b.schema.names)]), "body"):
-        w = words(part.column("body"))
+    for lo, bodies in _unpacked(map(unpack, (x.as_py() for x in b.column("body")))):
+        part = b.slice(lo, len(bodies))
+        w = words(pa.array(bodies, pa.large_binary()))
         raw = w.hash.astype(">u8").tobytes()
         back = w.hash[::-1].astype(">u8").tobytes()
         first, end = w.first.tolist(), UNIT * len(w.hash)
@@ -172,6 +175,19 @@ def _received(b: pa.RecordBatch) -> Iterator[tuple[int, "Row"]]:
             yield h, Row(doc, pos, tuple(masks), period, back[end - a - UNIT * n : end - a], raw[a + UNIT * n : z])
 
 
+def _unpacked(bodies: Iterator[bytes], most: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+    """Bodies in lists of at most so many bytes, or a body more, and the number of each list's first."""
+    lo, own, held = 0, [], 0
+    for x in bodies:
+        own.append(x)
+        held += len(x)
+        if held > most:
+            yield lo, own
+            lo, own, held = lo + len(own), [], 0
+    if own:
+        yield lo, own
+
+
 def starts_of(a: int, g: np.ndarray, lo: int, hi: int, width: int, min_words: int) -> range:
     """How far before anchor a the starts lie whose first anchor it is: those whose window holds no lesser
     k-gram, and none as little before it, and from which min_words are left."""
@@ -432,16 +448,18 @@ def _listed(many: list[Tree]) -> pa.RecordBatch:
 def _grouped(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own, made, held = None, [], [], 0
+        alike: dict[bytes, bytes] = {}  # copies of a passage are held once
         for h, row in chain((x for b in batches for x in _received(b)), [(None, None)]):
             if h != last:
                 for t in trees(last, own, min_words) if len(own) > 0 else ():
                     made.append(t)
                     held += len(t.suffixes)
-                if held > 100_000:
-                    yield _listed(made)
-                    made, held = [], 0
-                last, own = h, []
-            own.append(row)
+                    if held > LISTED:
+                        yield _listed(made)
+                        made, held = [], 0
+                last, own, alike = h, [], {}
+            if row:
+                own.append(row._replace(left=alike.setdefault(row.left, row.left), right=alike.setdefault(row.right, row.right)))
         if made:
             yield _listed(made)
 
@@ -640,16 +658,16 @@ def _hot_repeats(own: DataFrame, min_words: int) -> DataFrame:
     """The rows of maximal_repeats for hot anchors; own: doc_id, text, at."""
     parts = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = own.where(F.exists("at", lambda x: x.bitwiseAND(3) == DIVERSE | OFTEN))
-    starts = cut(own.mapInArrow(_hot_starts(min_words), "g bigint, before bigint, doc_id bigint, at bigint"))
+    starts = cut(own.mapInArrow(lean(_hot_starts(min_words)), "g bigint, before bigint, doc_id bigint, at bigint"))
     # Starts that occur once, or always after the same word, begin no repeat.
     differ = (F.count("before") < F.count("*")) | (F.min("before") != F.max("before"))
     kept = cut(starts.groupBy("g").agg(F.count("*").alias("n"), differ.alias("differ")).where("n > 1 AND differ").select("g"))
     given = cut(sized_join(starts, kept, "g", "left_semi").groupBy("doc_id").agg(F.collect_set(F.struct("at", "g", "before")).alias("starts")))
-    bodies = sized_join(own, given, "doc_id", "inner").select("doc_id", "text", "at", "starts").mapInArrow(_hot_suffixes(min_words), "g bigint, d int, before bigint, doc_id bigint, start int, body string")
+    bodies = sized_join(own, given, "doc_id", "inner").select("doc_id", "text", "at", "starts").mapInArrow(lean(_hot_suffixes(min_words)), "g bigint, d int, before bigint, doc_id bigint, start int, body string")
     order = ("g", "body", "doc_id", "start")
-    scanned = cut(bodies.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_ordered(min_words), _HOT))
+    scanned = cut(bodies.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(lean(_ordered(min_words)), _HOT))
     segments = scanned.where("segment").repartition(parts, "group_id").sortWithinPartitions("group_id", "place")
-    across = cut(segments.mapInArrow(_joined(min_words), _HOT))
+    across = cut(segments.mapInArrow(lean(_joined(min_words)), _HOT))
     # A suffix is a row where a repeat holds it, as elsewhere.
     rows = scanned.where("NOT segment")
     held = sized_join(rows.where("pending IS NOT NULL"), across.where("segment").select("group_id", "pending"), ["group_id", "pending"], "left_semi")
@@ -673,13 +691,13 @@ def maximal_repeats(docs: DataFrame, min_words: int = MIN_WORDS, hot: int = HOT)
     (the suffix's first word, from 0), period and reach, repeats (those whose interval begins here, to its last place)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lower("text").alias("text"))
-    every = cut(text.mapInArrow(_anchored(min_words), "h bigint, doc_id bigint, pos int, sig bigint"))
+    every = cut(text.mapInArrow(lean(_anchored(min_words)), "h bigint, doc_id bigint, pos int, sig bigint"))
     often = F.when(F.col("n") > hot, OFTEN).otherwise(0)
     flags = cut(every.groupBy("h").agg(F.count("*").alias("n"), (F.min("sig") != F.max("sig")).cast("int").alias("diverse")).where("n > 1").select("h", (F.col("diverse") + often).alias("flag")))
     places = cut(sized_join(every, flags, "h", "inner").groupBy("doc_id").agg(F.collect_set(F.col("pos") * 4 + F.col("flag")).alias("at")))
     own = sized_join(text, places, "doc_id", "inner").select("doc_id", "text", "at")
-    suffixes = own.mapInArrow(_suffixes(min_words), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, n_left int, body binary")
-    found = suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_grouped(min_words), _RESULT)
+    suffixes = own.mapInArrow(lean(_suffixes(min_words)), "h bigint, doc_id bigint, pos int, masks array<bigint>, period int, n_left int, body binary")
+    found = suffixes.repartition(parts, "h").sortWithinPartitions("h").mapInArrow(lean(_grouped(min_words)), _RESULT)
     if flags.where(F.col("flag") == DIVERSE | OFTEN).isEmpty():
         return found
     return found.union(_hot_repeats(own, min_words))

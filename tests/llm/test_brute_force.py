@@ -175,6 +175,26 @@ def test_runs_of_few_copies_are_whole(spark, size):
     assert len(got) == len(set(got)) and set(got) == brute_repeats(w, 10)
 
 
+def test_trees_of_one_anchor_leave_the_task_piece_by_piece(monkeypatch):
+    """Neither all rows of an anchor nor all bodies of a batch are held at once, and copies of a passage are held once."""
+    rng = random.Random(5)
+    pack = zstandard.ZstdCompressor().compress
+    left = ["".join(rng.choice("xy") + " " for _ in range(4)) for _ in range(300)]
+    bodies = [x + " ".join(rng.choice("ab") for _ in range(6)) + " " + "c " * 3 for x in left]
+    columns = [[7] * 300, range(300), [4] * 300, [[0b1111]] * 300, [0] * 300, [4] * 300, [pack(x.encode()) for x in bodies]]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.binary())
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["h", "doc_id", "pos", "masks", "period", "n_left", "body"])
+    whole = [r for b in repeats._grouped(8)(iter([batch])) for r in b.to_pylist()]
+    held = []
+    monkeypatch.setattr(repeats, "trees", lambda h, own, least, f=repeats.trees: held.append(own) or f(h, own, least))
+    monkeypatch.setattr(repeats, "LISTED", 200, raising=False)
+    pieces = [b.to_pylist() for b in repeats._grouped(8)(iter([batch]))]
+    assert len(whole) > 600 and [r for x in pieces for r in x] == whole
+    assert max(map(len, pieces)) <= 500
+    assert len({id(r.right) for r in held[0]}) == len({r.right for r in held[0]}) == 64
+    assert [(lo, len(x)) for lo, x in repeats._unpacked(iter([b"ab", b"cd", b"efghi", b"", b"j"]), 3)] == [(0, 2), (2, 1), (3, 2)]
+
+
 def test_jaccard_tasks_give_back_what_they_freed():
     """In a process of its own: after a task nothing is left that the allocators would let go of."""
     code = """

@@ -832,3 +832,31 @@ def test_ranks_of_the_reference_wait_until_places_are_gone(spark, monkeypatch):
     whole = bytes(found.data)
     assert found.order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
     assert found.rank[found.order].tolist() == list(range(len(whole)))
+
+
+@pytest.mark.parametrize("part, piece", [(300, 5), (2000, 40)])
+def test_the_reference_on_disk_gives_greedy_phrases(spark, monkeypatch, part, piece):
+    """Ranges in several rounds, runs of one text across them, repeats of more than 64 bytes and copies; texts parsed in pieces."""
+    monkeypatch.setattr(lmscore, "PIECE", piece)
+    monkeypatch.setattr(lmscore, "BUSY", 2)
+    monkeypatch.setattr(lmscore, "FEW", 2)
+    rng = random.Random(part)
+    passage = "".join(rng.choice("abc \x00é") for _ in range(300))
+    texts = [passage[rng.randrange(200) :][: rng.randint(1, 200)] + str(k) + "ab" * rng.choice([0, 0, 3, 60]) for k in range(12)]
+    texts += ["ab" * 200, "a" * 300, "a" * 90 + "c", "x", "q" * 150, "abc" * 50, "\x00" * 80, passage, "\x00"]
+    other = [passage[20:150] + "z" + passage[100:], "a" * 120, "b" * 50 + "q" * 70, "yy", "".join(rng.choice("abc ") for _ in range(700)), "ab" * 120 + passage]
+    docs = spark.createDataFrame([*enumerate(texts), *((k + 50, t) for k, t in enumerate(texts[:5] + other))], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, 1, 0) for k in [*range(len(texts)), *range(50, 55)]], "doc_id long, quality int, toxic int")
+    folder = lmscore.reference_of(docs, labels, part=part)
+    reference = lmscore.Mapped(folder)
+    whole = reference.data.tobytes()
+    assert sorted(whole[:-1].split(b"\xff")) == sorted({t.encode() for t in texts})
+    assert reference.order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
+    off, data = lmscore.buffers(pa.array(texts + other))
+    good = [t.encode() for t in texts]
+    expected = [greedy_phrases(t.encode(), [x for x in good if x != t.encode()]) for t in texts + other]
+    assert reference.phrases(off, data).tolist() == expected
+    # A byte for each place beside the order's four, and ranks of what is alike in 64 bytes only.
+    n = len(whole)
+    assert os.path.getsize(f"{folder}/near") == n and os.path.getsize(f"{folder}/rank") < 4 * n
+    assert not [x for x in os.listdir(folder) if x.startswith(("places-", "tied-", "heads-", "ranks-", "part-"))]

@@ -18,6 +18,9 @@ from marlspan.functions.degenerate import DISPATCHERS, equal_share, weighted
 from marlspan.functions.messages import last_of
 from marlspan.functions.perturb import perturbed
 
+#: Draws of a repetition until it differs from the response.
+DRAWS = 20
+
 RESULT = T.StructType([T.StructField(n, T.StringType()) for n in ("rejected", "label", "mode", "reason")])
 
 
@@ -46,10 +49,15 @@ def one(query: str | None, response: str | None, how: str, rng: random.Random, r
                 out, label = perturbed(response, rng, rate, axes)
                 if out is not None:
                     return out, label, "semantic", None
-            text, label = equal_share(response, rng) if how == "combined_equal_share" else weighted(response, rng, True)
-            return text, label, "repetition", None
-        text, label = DISPATCHERS[how](response, rng)
-        return text, label, "repetition", None
+        # A unit that is all the rest of the page, taken once, gives the page again: such a draw doesn't count.
+        for _ in range(DRAWS):
+            if how.startswith("combined"):
+                text, label = equal_share(response, rng) if how == "combined_equal_share" else weighted(response, rng, True)
+            else:
+                text, label = DISPATCHERS[how](response, rng)
+            if text != response:
+                return text, label, "repetition", None
+        return None, None, None, "repetition_no_op"
     except Exception as e:  # a row that fails is counted, and doesn't end the job
         return None, None, None, f"error: {e}"
 

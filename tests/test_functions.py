@@ -158,3 +158,15 @@ def test_pair_rules():
     assert one(None, "x", "base", random.Random(1), 0.7, None, 0.5)[3] == "no_user_message"
     assert one("q", "", "base", random.Random(1), 0.7, None, 0.5)[3] == "no_assistant_response"
     assert pair_id(1, 2) == pair_id(1, 2) != pair_id(1, 3) and re.fullmatch(r"[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-8[0-9a-f]{3}-[0-9a-f]{12}", pair_id(1, 2))
+
+
+def test_a_pair_differs():
+    # On row 4278 the unit is the page's root element, which is all the rest of the page.
+    from marlspan.plans.round_trips import _PAGE
+
+    page = _PAGE + "http://tionsh.example.net/fr/218111\n</body>\n</html>"
+    assert degenerate.DISPATCHERS["random_most"](page, generator(42, "random_most", 4278))[0] == page
+    text, _, mode, reason = one("q", page, "random_most", generator(42, "random_most", 4278), 1.0, None, 0.5)
+    assert reason is None and mode == "repetition" and text != page
+    # A page of which no draw gives another of its length has a reason.
+    assert one("q", "<", "chat_length_matched", random.Random(1), 0.7, None, 0.5) == (None, None, None, "repetition_no_op")

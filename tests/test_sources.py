@@ -305,3 +305,29 @@ def test_scratch_removes_what_is_not_kept(spark, tmp_path):
     assert not paths[1].exists()
     outside = shared.cut(spark.range(2))
     assert outside.count() == 2
+
+
+@pytest.mark.parametrize("profile", ["balanced", "loose"])
+def test_links_do_not_grow_with_the_square_of_near_pages(spark, monkeypatch, profile):
+    # Near one hash with a few structures, in several cells: the same clusters as by all pairs, by few links.
+    monkeypatch.setattr(near_pages, "CELL", 64)
+    rng, t = np.random.default_rng(5), near_pages.PROFILES[profile]
+    flips = lambda n, most: sum(1 << int(b) for b in rng.choice(64, rng.integers(0, most + 1), replace=False)) if n else 0
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    h = {k: (signed(0x0F1E2D3C4B5A6978 ^ flips(k, 9)), signed(0x8000000000000001 << (k % 3) & 2**64 - 1)) for k in range(300)}
+    h |= {k: (int(rng.integers(-(2**63), 2**63)), 5) for k in range(300, 310)}
+    d = lambda a, b: bin((a ^ b) & (2**64 - 1)).count("1")
+    band = lambda x: {(i, (x >> 16 * i) & 65535) for i in range(4)}
+    linked = lambda a, b: (band(a[0]) & band(b[0]) or band(a[1]) & band(b[1])) and (d(a[0], b[0]) <= t[0] or (d(a[0], b[0]) <= t[1] and d(a[1], b[1]) <= t[2]))
+    every = {(a, b) for a in h for b in h if a < b and linked(h[a], h[b])}
+    got = {tuple(r) for r in near_pages.page_links(spark.createDataFrame([(k, *x) for k, x in h.items()], "page_id long, text_hash long, dom_hash long"), profile=profile).collect()}
+
+    def components(edges):
+        root = {k: k for k in h}
+        while any(root[a] != root[b] for a, b in edges):
+            for a, b in edges:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert got <= every and components(got) == components(every) and 1 < len(set(components(every).values())) < len(h)
+    assert len(every) > 2500 and len(got) < len(every) / 2

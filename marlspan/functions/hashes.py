@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 
@@ -60,17 +61,22 @@ def bands(h: Column | str, bits: int = 16) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(c, i * bits).bitwiseAND((1 << bits) - 1).alias("key")) for i in range(64 // bits)])
 
 
-def lanczos(image: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Separable resampling with the three-lobed window that widens when it shrinks; float64."""
+def _weights(n: int, to: int) -> np.ndarray:
+    scale = max(1.0, n / to)
+    centre = (np.arange(to) + 0.5) * n / to
+    x = (np.arange(n)[None, :] + 0.5 - centre[:, None]) / scale
+    k = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0)
+    return k / k.sum(1, keepdims=True)
+
 
-    def weights(n: int, to: int) -> np.ndarray:
-        scale = max(1.0, n / to)
-        centre = (np.arange(to) + 0.5) * n / to
-        x = (np.arange(n)[None, :] + 0.5 - centre[:, None]) / scale
-        k = np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0)
-        return k / k.sum(1, keepdims=True)
+#: Of small images the weights cost more than their use: a few MB of them are kept.
+_kept_weights = functools.lru_cache(maxsize=256)(_weights)
 
-    return weights(image.shape[0], h) @ image.astype(np.float64) @ weights(image.shape[1], w).T
+
+def lanczos(image: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Separable resampling with the three-lobed window that widens when it shrinks; float64."""
+    of = lambda n, to: (_kept_weights if n * to <= 4096 else _weights)(n, to)
+    return of(image.shape[0], h) @ image.astype(np.float64) @ of(image.shape[1], w).T
 
 
 def grey(image: np.ndarray) -> np.ndarray:

@@ -52,7 +52,8 @@ def measured(shard: str, member: str | None, data: bytes | None, error: str | No
     if not pixels:
         return shard, member, False, None, w, h, len(data), None, None, None, None, channels, mode, None
     try:
-        own, rgb = kind.decode(data), kind.decode(data, rgb=True)
+        own = kind.decode(data)
+        rgb = own if kind is png and mode == "RGB" else kind.decode(data, rgb=True)
     except png.BadPng as e:
         return shard, member, True, str(e), w, h, len(data), None, None, None, None, channels, mode, None
     small = np.stack([lanczos(rgb[:, :, c], min(128, h), min(128, w)) for c in range(3)], axis=2)

@@ -212,7 +212,7 @@ _CUT = "WITH d AS (SELECT doc_id FROM documents WHERE doc_id >= 64 OR doc_id IN
 
 @query(f"{_CUT} SELECT {_SHARD} AS shard, count(*) AS readable, min(doc_id) < 64 AS broken FROM d GROUP BY 1")
 def shard_validation(spark, sf_dir):
-    got = tars.read_shards(spark, f"{_broken(spark, sf_dir)}/images-*.tar", data=True)
+    got = tars.read_shards(spark, f"{_broken(spark, sf_dir)}/images-*.tar", data=False, checked=True)
     return got.groupBy("shard").agg(F.count("member").alias("readable"), (F.count("error") > 0).alias("broken"))
 
 
@@ -226,7 +226,7 @@ def shard_repair(spark, sf_dir):
 @query("WITH d AS (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 64) SELECT 10 AS first, 63 AS last, 54 AS n WHERE (SELECT count(*) FROM d) = 64")
 def reconcile(spark, sf_dir):
     """Rows without a member, as ranges: those that the broken shard has lost."""
-    got = tars.read_shards(spark, f"{_broken(spark, sf_dir)}/images-*.tar").where("member IS NOT NULL")
+    got = tars.read_shards(spark, f"{_broken(spark, sf_dir)}/images-*.tar", data=False, checked=True).where("member IS NOT NULL")
     present = got.select(F.regexp_extract("member", r"(\d+)", 1).cast("bigint").alias("idx"))
     return rows.reconciled(table(spark, sf_dir, "documents").select("doc_id"), present, 0).select("first", "last", "n")
 

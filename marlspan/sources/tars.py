@@ -1,4 +1,4 @@
-"""Sharded tar archives: a data source with a partition for each shard, a writer, and web datasets."""
+"""Sharded tar archives: a data source whose partitions are a large shard or several small ones, writers, and web datasets."""
 
 from __future__ import annotations
 
@@ -16,38 +16,71 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SHARD_SIZE = 5000
+#: Bytes of shards that a task reads, at most, what opening one counts, and bytes and rows of a batch.
+SPLIT, OPEN, BATCH, ROWS = 64_000_000, 64_000, 8_000_000, 2000
 SCHEMA = "shard string, member string, pos bigint, size bigint, data binary, error string"
 
 
-class _Shard(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+class _Shards(InputPartition):
+    def __init__(self, paths: list[str]) -> None:
+        self.paths = paths
+
+
+def _together(paths: list[str], parts: int) -> list[list[str]]:
+    """Shards in order, so many as make a task's work: SPLIT bytes at most, or one; fewer where that gives less than so many parts."""
+    size = [os.path.getsize(p) + OPEN for p in paths]
+    most = min(SPLIT, max(OPEN, sum(size) / max(1, parts)))
+    out: list[list[str]] = []
+    room = 0.0
+    for p, n in zip(paths, size):
+        if n > room:
+            out.append([])
+            room = most
+        out[-1].append(p)
+        room -= n
+    return out
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.pattern, self.load = options["path"], options.get("data", "true") == "true"
+        self.pattern, self.load, self.parts = options["path"], options.get("data", "true"), int(options.get("parts", "1"))
 
     def partitions(self):
-        return [_Shard(p) for p in sorted(glob.glob(self.pattern))] or [_Shard("")]
-
-    def read(self, part: _Shard) -> Iterator[tuple]:
-        if not part.path:
-            return
-        shard, pos = os.path.basename(part.path), 0
+        return [_Shards(own) for own in _together(sorted(glob.glob(self.pattern)), self.parts)] or [_Shards([])]
+
+    def read(self, part: _Shards) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for path in part.paths:
+            for row in self.members(path):
+                rows.append(row)
+                size += len(row[4] or b"")
+                if size >= BATCH or len(rows) == ROWS:
+                    yield _batch(rows)
+                    rows, size = [], 0
+        if rows:
+            yield _batch(rows)
+
+    def members(self, path: str) -> Iterator[tuple]:
+        shard, pos = os.path.basename(path), 0
         try:
             # A stream: members are never all in memory, however large the shard.
-            with open(part.path, "rb") as f, tarfile.open(fileobj=f, mode="r|*") as tar:
+            with open(path, "rb") as f, tarfile.open(fileobj=f, mode="r|*") as tar:
                 for m in tar:
                     if m.isfile():
-                        data = tar.extractfile(m).read() if self.load else None
+                        data = tar.extractfile(m).read() if self.load != "false" else None
                         # Characters, not a prefix, are stripped: ".hidden" loses its dot too.
-                        yield shard, m.name.lstrip("./"), pos, m.size, data, None
+                        yield shard, m.name.lstrip("./"), pos, m.size, data if self.load == "true" else None, None
                         pos += 1
         except (tarfile.TarError, OSError, EOFError) as e:
             yield shard, None, pos, None, None, type(e).__name__
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+
 class TarShards(DataSource):
     """spark.read.format("tar_shards").load("dir/images-*.tar"): the members in order; a row with error where a shard breaks off."""
 
@@ -62,9 +95,11 @@ class TarShards(DataSource):
         return _Reader(self.options)
 
 
-def read_shards(spark: SparkSession, pattern: str, data: bool = True) -> DataFrame:
+def read_shards(spark: SparkSession, pattern: str, data: bool = True, checked: bool = False) -> DataFrame:
+    """The members of shards. Without data a shard that breaks off within a member has that one still, unless bytes are checked: read, and not given."""
     spark.dataSource.register(TarShards)
-    return spark.read.format("tar_shards").option("data", str(data).lower()).load(pattern)
+    load = str(data).lower() if data or not checked else "checked"
+    return spark.read.format("tar_shards").option("data", load).option("parts", str(4 * spark.sparkContext.defaultParallelism)).load(pattern)
 
 
 def tar_index(members: DataFrame) -> DataFrame:
@@ -81,8 +116,8 @@ def lookup(members: DataFrame) -> DataFrame:
     return names.groupBy("name").agg(F.min(F.struct("shard", "pos", "member")).alias("at")).select("name", "at.shard", "at.member")
 
 
-def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_SIZE) -> DataFrame:
-    """Write (idx, data) as images-%05d.tar of `size` members {prefix}_%06d.png, in order; shard, members, first, last.
+def write_members(members: DataFrame, folder: str) -> DataFrame:
+    """Write (shard_no, idx, member, data) as images-%05d.tar with the members by idx; shard, members, first, last.
 
     Each shard is one task's work and appears whole, by renaming.
     """
@@ -90,6 +125,7 @@ def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tar = path = None
         done, shard = [], None
+        os.makedirs(folder, exist_ok=True)
 
         def close() -> None:
             if tar is not None:
@@ -97,27 +133,34 @@ def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_
                 os.replace(tar.name, path)
 
         for b in batches:
-            for s, i, data in zip(*(b.column(c).to_pylist() for c in ("shard_no", "idx", "data"))):
+            for s, i, name, data in zip(*(b.column(c).to_pylist() for c in ("shard_no", "idx", "member", "data"))):
                 if s != shard:
                     close()
                     shard = s
                     path = f"{folder}/images-{s:05d}.tar"
-                    os.makedirs(folder, exist_ok=True)
                     tar = tarfile.open(f"{path}.{uuid.uuid4().hex}", "w")
                     done.append([os.path.basename(path), 0, i, i])
-                info = tarfile.TarInfo(f"{prefix}_{i:06d}.png")
+                info = tarfile.TarInfo(name)
                 info.size = len(data)
                 tar.addfile(info, io.BytesIO(data))
+                # The archive needs no list of what it holds.
+                tar.members.clear()
                 done[-1][1] += 1
                 done[-1][3] = i
         close()
         if done:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["shard", "members", "first", "last"])
 
-    rows = images.select(F.floor(F.col("idx") / size).cast("bigint").alias("shard_no"), F.col("idx").cast("bigint").alias("idx"), "data")
+    rows = members.select(F.col("shard_no").cast("bigint").alias("shard_no"), F.col("idx").cast("bigint").alias("idx"), "member", "data")
     return rows.repartition("shard_no").sortWithinPartitions("shard_no", "idx").mapInArrow(run, "shard string, members bigint, first bigint, last bigint")
 
 
+def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_SIZE) -> DataFrame:
+    """Write (idx, data) as images-%05d.tar of `size` members {prefix}_%06d.png, in order; shard, members, first, last."""
+    name = F.concat(F.lit(f"{prefix}_"), F.format_string("%06d.png", F.col("idx").cast("bigint")))
+    return write_members(images.select(F.floor(F.col("idx") / size).alias("shard_no"), "idx", name.alias("member"), "data"), folder)
+
+
 def repaired(path: str, prefix: str) -> int:
     """Rewrite a shard with its readable members of the prefix in order of their numbers; how many."""
     pattern = re.compile(re.escape(prefix) + r"_([0-9]{6,})[.]png\Z")

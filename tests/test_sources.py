@@ -331,3 +331,24 @@ def test_links_do_not_grow_with_the_square_of_near_pages(spark, monkeypatch, pro
 
     assert got <= every and components(got) == components(every) and 1 < len(set(components(every).values())) < len(h)
     assert len(every) > 2500 and len(got) < len(every) / 2
+
+
+def test_small_shards_are_read_together(spark, tmp_path):
+    tars.write_shards(spark.range(600).select(F.col("id").alias("idx"), F.lit("data").cast("binary").alias("data")), str(tmp_path), "web", 2).collect()
+    got = tars.read_shards(spark, f"{tmp_path}/images-*.tar")
+    assert got.rdd.getNumPartitions() <= 2 * 4 * spark.sparkContext.defaultParallelism < 300
+    assert {(r.shard, r.member, r.pos, bytes(r.data)) for r in got.collect()} == {(f"images-{i // 2:05d}.tar", f"web_{i:06d}.png", i % 2, b"data") for i in range(600)}
+    # A shard that breaks off within its first member, amid whole ones: checked or loaded, that member doesn't count.
+    with open(tmp_path / "images-00001.tar", "r+b") as f:
+        f.truncate(513)
+    told = lambda **o: {(r.shard, r.member, r.error) for r in tars.read_shards(spark, f"{tmp_path}/images-*.tar", **o).collect()}
+    assert told(data=False, checked=True) == told() and len(told()) == 599
+    assert tars._together([str(p) for p in tmp_path.iterdir()], 1) and tars._together([], 4) == []
+
+
+def test_thumbnails_of_small_and_large_images():
+    from marlspan.functions import hashes
+
+    for h, w, to in ((6, 8, (6, 8)), (40, 300, (16, 128)), (3, 2, (3, 2))):
+        a = np.random.default_rng(1).integers(0, 256, (h, w))
+        assert (hashes.lanczos(a, *to) == hashes._weights(h, to[0]) @ a.astype(np.float64) @ hashes._weights(w, to[1]).T).all()

@@ -155,13 +155,10 @@ def shard_scan(spark, sf_dir):
 def shard_index(spark, sf_dir):
     """Of members of one name the last counts: each name is written twice, the second time longer."""
     at = folder(spark, "twice")
-    ids = [r[0] for r in table(spark, sf_dir, "documents").select("doc_id").orderBy("doc_id").toLocalIterator()]
-    with tarfile.open(f"{at}/images-00000.tar", "w") as tar:
-        for size in (3, 5):
-            for i in ids:
-                info = tarfile.TarInfo(f"./web_{i:06d}.png")
-                info.size = size + i % 3
-                tar.addfile(info, io.BytesIO(bytes(info.size)))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(F.lit(3), F.lit(5))).alias("size"))
+    data = F.encode(F.repeat(F.lit("\0"), (F.col("size") + F.col("doc_id") % 3).cast("int")), "utf-8")
+    place = F.col("size") * F.lit(1 << 40) + F.col("doc_id")
+    cut(tars.write_members(docs.select(F.floor(F.col("doc_id") / tars.SHARD_SIZE).alias("shard_no"), place.alias("idx"), F.format_string("./web_%06d.png", "doc_id").alias("member"), data.alias("data")), at))
     got = tars.tar_index(tars.read_shards(spark, f"{at}/images-*.tar", data=False))
     return got.select(F.regexp_extract("member", r"(\d+)", 1).cast("bigint").alias("doc_id"), "size")
 
@@ -175,9 +172,8 @@ def shard_lookup(spark, sf_dir):
 def chunk_lookup(spark, sf_dir):
     """Members named by chunk and row: a chunk's name leads to its first."""
     at = folder(spark, "chunks")
-    with tarfile.open(f"{at}/images-00000.tar", "w") as tar:
-        for r in table(spark, sf_dir, "pages").select("page_id").orderBy("page_id").toLocalIterator():
-            tar.addfile(tarfile.TarInfo(f"a/chunk_{r[0] // 10}_row_{r[0]}.png"))
+    name = F.format_string("a/chunk_%d_row_%d.png", F.floor(F.col("page_id") / 10).cast("bigint"), "page_id")
+    cut(tars.write_members(table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / tars.SHARD_SIZE).alias("shard_no"), F.col("page_id").alias("idx"), name.alias("member"), F.lit(b"").alias("data")), at))
     got = tars.lookup(tars.read_shards(spark, f"{at}/images-*.tar", data=False)).where("name RLIKE '^chunk_[0-9]+$'")
     return got.select("name", F.regexp_extract("member", r"row_(\d+)", 1).cast("bigint").alias("page_id"))
 
@@ -186,12 +182,11 @@ def chunk_lookup(spark, sf_dir):
 def web_dataset(spark, sf_dir):
     """Pairs of members; of every fifth page the image is missing."""
     at = folder(spark, "pairs")
-    with tarfile.open(f"{at}/images-00000.tar", "w") as tar:
-        for r in table(spark, sf_dir, "pages").select("page_id", "html", "url").toLocalIterator():
-            for kind, data in (("html", r.html.encode()), *([("png", r.url.encode())] if r.page_id % 5 else [])):
-                info = tarfile.TarInfo(f"{r.page_id:08d}.{kind}")
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
+    own = lambda k, kind, c: F.struct((F.col("page_id") * 2 + k).alias("idx"), F.format_string(f"%08d.{kind}", "page_id").alias("member"), F.encode(c, "utf-8").alias("data"))
+    both = F.array(own(0, "html", "html"), F.when(F.col("page_id") % 5 != 0, own(1, "png", "url")))
+    members = table(spark, sf_dir, "pages").select(F.spark_partition_id().alias("shard_no"), F.explode(both).alias("m")).where("m IS NOT NULL")
+    # A page's members are written where the page is read: nothing is shuffled.
+    cut(tars.write_members(members.select("shard_no", "m.*"), at, together=True))
     got = tars.web_dataset(tars.read_shards(spark, f"{at}/*.tar"))
     return got.select(F.col("key").cast("bigint").alias("page_id"), F.length(F.encode("html", "utf-8")).cast("bigint").alias("html_size"), F.length("png").cast("bigint").alias("png_size"))
 

@@ -116,10 +116,10 @@ def lookup(members: DataFrame) -> DataFrame:
     return names.groupBy("name").agg(F.min(F.struct("shard", "pos", "member")).alias("at")).select("name", "at.shard", "at.member")
 
 
-def write_members(members: DataFrame, folder: str) -> DataFrame:
+def write_members(members: DataFrame, folder: str, together: bool = False) -> DataFrame:
     """Write (shard_no, idx, member, data) as images-%05d.tar with the members by idx; shard, members, first, last.
 
-    Each shard is one task's work and appears whole, by renaming.
+    Each shard is one task's work and appears whole, by renaming. together: a shard's rows are in one partition already.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,7 @@ def write_members(members: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["shard", "members", "first", "last"])
 
     rows = members.select(F.col("shard_no").cast("bigint").alias("shard_no"), F.col("idx").cast("bigint").alias("idx"), "member", "data")
-    return rows.repartition("shard_no").sortWithinPartitions("shard_no", "idx").mapInArrow(run, "shard string, members bigint, first bigint, last bigint")
+    return (rows if together else rows.repartition("shard_no")).sortWithinPartitions("shard_no", "idx").mapInArrow(run, "shard string, members bigint, first bigint, last bigint")
 
 
 def write_shards(images: DataFrame, folder: str, prefix: str, size: int = SHARD_SIZE) -> DataFrame:

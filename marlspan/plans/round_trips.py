@@ -6,12 +6,9 @@ Everything is written below the session's shared folder, of which Python on all
 from __future__ import annotations
 
 import glob
-import io
-import json
 import os
 import tarfile
 import uuid
-import zipfile
 
 import numpy as np
 import pyarrow as pa
@@ -96,27 +93,30 @@ def parquet_pairs(spark, sf_dir):
 # Archives.
 
 
-def _archive(spark: SparkSession, sf_dir: str) -> str:
-    """Pages with an even id in an archive, which the driver writes."""
-    at = f"{folder(spark, 'archive')}/pages.zip"
-    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
-        meta = []
-        for r in table(spark, sf_dir, "pages").where("page_id % 2 = 0").select("page_id", "html").orderBy("page_id").toLocalIterator():
-            z.writestr(f"root/images/p{r.page_id}.html", r.html)
-            meta.append({"image_path": f"images/p{r.page_id}.html"})
-        z.writestr("root/meta_data_pages.json", json.dumps(meta))
-    return at
+def _archive() -> Column:
+    """The archive of a page."""
+    return F.format_string("pages-%05d.zip", F.floor(F.col("page_id") / 2500).cast("bigint")).alias("archive")
+
+
+def _archives(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Pages with an even id in archives; the folder, and what the writer says."""
+    at = folder(spark, "archives")
+    pages = table(spark, sf_dir, "pages").where("page_id % 2 = 0")
+    member = F.concat(F.lit("images/p"), F.col("page_id").cast("string"), F.lit(".html"))
+    return at, cut(records.write_archives(pages.select(_archive(), member.alias("member"), F.encode("html", "utf-8").alias("data")), at, "pages"))
 
 
 @query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN octet_length(encode(html)) END AS size FROM pages")
 def zip_lookup(spark, sf_dir):
-    names = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("root/images/p"), F.col("page_id").cast("string"), F.lit(".html")).alias("member"))
-    return records.zip_members(names, _archive(spark, sf_dir)).select("page_id", F.length("data").cast("bigint").alias("size"))
+    names = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("root/images/p"), F.col("page_id").cast("string"), F.lit(".html")).alias("member"), _archive())
+    return records.zip_members(names, _archives(spark, sf_dir)[0], of="archive").select("page_id", F.length("data").cast("bigint").alias("size"))
 
 
 @query("SELECT 'root/meta_data_pages.json' AS metadata, 'pages' AS category, 'root/' AS root")
 def zip_introspection(spark, sf_dir):
-    return spark.createDataFrame([records.zip_layout(_archive(spark, sf_dir))], "metadata string, category string, root string")
+    """What the archives say of themselves, which is the same of all."""
+    at, written = _archives(spark, sf_dir)
+    return records.zip_layouts(written, at).select("metadata", "category", "root").distinct()
 
 
 @query("SELECT page_id, 'images/' || url AS path FROM pages")
@@ -446,8 +446,8 @@ def source_parquet_pages(spark, sf_dir):
 @query(_told("WHEN page_id % 9 = 0 THEN 'no_image_path' WHEN page_id % 5 = 0 THEN 'empty_code' WHEN page_id % 2 <> 0 THEN 'missing_member'", "pages"))
 def source_archives(spark, sf_dir):
     member = F.concat(F.lit("root/images/p"), F.col("page_id").cast("string"), F.lit(".html"))
-    own = table(spark, sf_dir, "pages").select(F.col("page_id").alias("n"), F.when(F.col("page_id") % 9 != 0, member).alias("image_path"), F.when(F.col("page_id") % 5 != 0, F.col("html")).otherwise(" ").alias("code"))
-    found = records.zip_members(own, _archive(spark, sf_dir), "image_path")
+    own = table(spark, sf_dir, "pages").select(F.col("page_id").alias("n"), F.when(F.col("page_id") % 9 != 0, member).alias("image_path"), F.when(F.col("page_id") % 5 != 0, F.col("html")).otherwise(" ").alias("code"), _archive())
+    found = records.zip_members(own, _archives(spark, sf_dir)[0], "image_path", "archive").drop("archive")
     return _by_reason(ingest.archives(), found.withColumn("image", F.when(F.col("data").isNotNull(), drawn(F.col("n") * 6 + 1))).drop("data"))
 
 

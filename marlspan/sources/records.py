@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -106,30 +107,86 @@ def read_array_lines(spark: SparkSession, path: str, schema: T.StructType) -> Da
     return lines.select("row.*")
 
 
-def zip_members(paths: DataFrame, archive: str, member: str = "member") -> DataFrame:
+def zip_members(paths: DataFrame, archive: str, member: str = "member", of: str | None = None) -> DataFrame:
     """paths with data: the bytes of each named member, null where it is missing or the archive can't be read.
 
-    The archive lies in a folder that all executors share, and is opened once a task.
+    The archive lies in a folder that all executors share, and is opened once a task. Where rows have several, of is
+    the column with their archives' names and archive their folder; each is open while rows in a row name it.
     """
     kind = T.StructType([*paths.schema.fields, T.StructField("data", T.BinaryType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def opened(name: str | None) -> zipfile.ZipFile | None:
         try:
-            z = zipfile.ZipFile(archive)
+            return zipfile.ZipFile(archive if of is None else os.path.join(archive, name)) if name else None
         except (OSError, zipfile.BadZipFile):
-            z = None
-        for b in batches:
-            out = []
-            for name in b.column(member).to_pylist():
-                try:
-                    out.append(z.read(name) if z and name else None)
-                except (KeyError, zipfile.BadZipFile, OSError):
-                    out.append(None)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "data"])
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z, now = None, None
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                names = b.column(member).to_pylist()
+                own = b.column(of).to_pylist() if of else [archive] * len(names)
+                out: list[bytes | None] = [None] * len(names)
+                for i in sorted(range(len(names)), key=lambda i: own[i] or ""):
+                    if own[i] != now:
+                        if z:
+                            z.close()
+                        z, now = opened(own[i]), own[i]
+                    try:
+                        out[i] = z.read(names[i]) if z and names[i] else None
+                    except (KeyError, zipfile.BadZipFile, OSError):
+                        pass
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "data"])
+        if z:
+            z.close()
 
     return paths.mapInArrow(run, kind)
 
 
+def write_archives(members: DataFrame, folder: str, category: str, root: str = "root/") -> DataFrame:
+    """Write (archive, member, data) as zips of the folder, by their names: root + member each, in the order of the names, and the metadata last; archive and members.
+
+    Each archive is one task's work and appears whole, by renaming.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(folder, exist_ok=True)
+        z, now, done = None, None, []
+
+        def close() -> None:
+            if z is not None:
+                z.writestr(f"{root}meta_data_{category}.json", json.dumps([{"image_path": n} for n in meta], ensure_ascii=False))
+                z.close()
+                os.replace(z.filename, f"{folder}/{now}")
+                done.append((now, len(meta)))
+
+        for b in batches:
+            for name, member, data in zip(*(b.column(c).to_pylist() for c in ("archive", "member", "data"))):
+                if name != now:
+                    close()
+                    z, now, meta = zipfile.ZipFile(f"{folder}/{name}.{uuid.uuid4().hex}", "w", zipfile.ZIP_DEFLATED), name, []
+                z.writestr(f"{root}{member}", data)
+                meta.append(member)
+        close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], names=["archive", "members"])
+
+    return members.select("archive", "member", "data").repartition("archive").sortWithinPartitions("archive", "member").mapInArrow(run, "archive string, members bigint")
+
+
+def zip_layouts(archives: DataFrame, folder: str) -> DataFrame:
+    """archive, metadata, category and root of each archive of a folder, told by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            told = [{"archive": n, **zip_layout(os.path.join(folder, n))} for n in b.column("archive").to_pylist()]
+            yield pa.RecordBatch.from_pylist(told, pa.schema([(c, pa.string()) for c in ("archive", "metadata", "category", "root")]))
+
+    return archives.select("archive").mapInArrow(run, "archive string, metadata string, category string, root string")
+
+
 def zip_layout(archive: str) -> dict:
     """What an archive says of itself: its metadata member, the category in that name, and the root of its images."""
     with zipfile.ZipFile(archive) as z:

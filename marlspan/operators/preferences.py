@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from marlspan.functions.degenerate import DISPATCHERS, equal_share, weighted
 from marlspan.functions.messages import last_of
 from marlspan.functions.perturb import perturbed
+from marlspan.shared import in_slices
 
 #: Draws of a repetition until it differs from the response.
 DRAWS = 20
@@ -65,11 +66,14 @@ def one(query: str | None, response: str | None, how: str, rng: random.Random, r
 def rejected(key: Column, query: Column, response: Column, how: str, seed: int = 42, rate: float = 0.7, axes: str | None = None, split: float = 0.5) -> Column:
     """struct(rejected, label, mode, reason)."""
 
-    @F.arrow_udf(RESULT)
-    def run(k: pa.Array, q: pa.Array, r: pa.Array) -> pa.Array:
+    def some(k: pa.Array, q: pa.Array, r: pa.Array) -> pa.Array:
         rows = [one(b, c, how, generator(seed, how, a), rate, axes, split) for a, b, c in zip(k.to_pylist(), q.to_pylist(), r.to_pylist())]
         return pa.StructArray.from_arrays([pa.array(x, pa.string()) for x in (list(zip(*rows)) or [()] * 4)], names=RESULT.names)
 
+    @F.arrow_udf(RESULT)
+    def run(k: pa.Array, q: pa.Array, r: pa.Array) -> pa.Array:
+        return in_slices(some, k, q, r)
+
     return run(key.cast("string"), query, response)
 
 

@@ -170,3 +170,35 @@ def test_a_pair_differs():
     assert reason is None and mode == "repetition" and text != page
     # A page of which no draw gives another of its length has a reason.
     assert one("q", "<", "chat_length_matched", random.Random(1), 0.7, None, 0.5) == (None, None, None, "repetition_no_op")
+
+
+def test_batches_are_worked_on_in_slices():
+    import pyarrow as pa
+
+    from marlspan.shared import in_slices
+
+    seen = []
+
+    def run(a, b):
+        seen.append(len(a))
+        return pa.StructArray.from_arrays([a, b], names=["a", "b"])
+
+    a, b = pa.array(range(1001)), pa.array([None if i % 3 else str(i) for i in range(1001)])
+    assert in_slices(run, a, b).to_pylist() == run(a, b).to_pylist() and max(seen[:-1]) == 200
+    assert len(in_slices(run, a[:0], b[:0])) == 0
+
+
+def test_pairs_hold_few_rows(monkeypatch):
+    # Of a batch of many rows few are Python objects at a time.
+    import pyarrow as pa
+
+    from marlspan.operators import preferences
+
+    most = []
+    monkeypatch.setattr(preferences.F, "arrow_udf", lambda _: lambda f: lambda *c: f(*c))
+    monkeypatch.setattr(preferences, "in_slices", lambda run, *c: most.append(len(c[0])) or run(*(x.slice(0, 5) for x in c)))
+
+    class Key:
+        cast = lambda self, _: pa.array(map(str, range(2000)))
+
+    assert len(preferences.rejected(Key(), pa.array(["q"] * 2000), pa.array([PAGE] * 2000), "base")) == 5 and most == [2000]

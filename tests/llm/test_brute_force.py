@@ -860,3 +860,29 @@ def test_the_reference_on_disk_gives_greedy_phrases(spark, monkeypatch, part, pi
     n = len(whole)
     assert os.path.getsize(f"{folder}/near") == n and os.path.getsize(f"{folder}/rank") < 4 * n
     assert not [x for x in os.listdir(folder) if x.startswith(("places-", "tied-", "heads-", "ranks-", "part-"))]
+
+
+def test_copies_are_not_parsed(spark, monkeypatch):
+    class Told:
+        def phrases(self, off, data):
+            self.seen = data.tobytes()
+            return np.full(len(off) - 1, 7)
+
+    told = Told()
+    assert lmscore.phrases_of(told, pa.array(["ab", "cd", "", "ef"]), pa.array([True, False, False, True])).tolist() == [1, 7, 7, 1] and told.seen == b"cd"
+    assert lmscore.phrases_of(lmscore.Reference([b"abc"]).prepared(), pa.array(["ab"]), pa.array([True])).tolist() == [1]
+    # Told before or after the parse, scores are the same.
+    docs = spark.createDataFrame([(1, "twice the same"), (2, "twice the same"), (3, "once only"), (4, None), (3, "once only")], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
+    scores = []
+    for small in (True, False):
+        monkeypatch.setattr(lmscore, "broadcastable", lambda *_, small=small: small)
+        scores.append(sorted(map(tuple, lmscore.cross_parse(docs, labels).collect())))
+    assert scores[0] == scores[1] and [r[3:5] for r in scores[0]] == [(True, 1), (True, 1), (False, 9), (False, 9), (False, 0)]
+
+
+def test_own_phrases_of_short_and_long_texts():
+    rng = random.Random(4)
+    for n in (0, 1, 2, 50, 3000):
+        t = bytes(rng.choices(b"abc \xc3", k=n))
+        assert lmscore.own_phrases(t) == lmscore._long_own_phrases(t)
